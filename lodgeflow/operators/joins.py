@@ -40,12 +40,14 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 
 def lookup_join(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
                 take: dict[str, str], how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                max_rows: int = BROADCAST_MAX_ROWS, bounded: bool = False) -> DataFrame:
     """Enrich ``df`` with columns of a lookup table matched by name (J-13).
 
     ``take`` maps lookup column -> output name.  Duplicate lookup keys fan
-    out, as in the SQL (Q-14)."""
+    out, as in the SQL (Q-14).  ``bounded=True`` states that the caller has
+    already proven the lookup's size (e.g. it is a projection of a checked
+    table), which skips the check job."""
     lk = lookup.select(F.col(right_on).alias("__lk"),
                        *[F.col(src).alias(dst) for src, dst in take.items()])
-    lk = bounded_broadcast(lk, max_rows)
+    lk = F.broadcast(lk) if bounded else bounded_broadcast(lk, max_rows)
     return df.join(lk, df[left_on] == lk["__lk"], how).drop("__lk")
