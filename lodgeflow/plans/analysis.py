@@ -13,21 +13,20 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio6
 from ..operators.windows import mode_per_group
-from .marts import DEC0, avail, est_price, listing_weights
+from .marts import DEC0, avail, est_price_long, listing_weights
 from .warehouse import Star
 
 
 def revenue_by_neighbourhood(star: Star) -> DataFrame:
     """SUM((30 - availability_30) * price) over available rows of fact
     NATURAL JOIN dim_listing, per listing_neighbourhood, plus the joined
-    available row count."""
-    fs = (star.fact.where(avail() & F.col("listing_id").isNotNull())
-          .groupBy("listing_id").agg(F.sum(est_price()).alias("rev"), F.count("*").alias("n")))
+    available row count (the fact meets the tie weights, no pair rows)."""
+    f = star.fact.where(avail()).select("listing_id", est_price_long().alias("est"))
     w = listing_weights(star.dim_listing, ["listing_neighbourhood"])
-    return (fs.join(w, "listing_id", "inner")
+    return (f.join(w, "listing_id", "inner")
               .groupBy("listing_neighbourhood")
-              .agg(F.sum(F.col("rev") * F.col("w")).alias("total_rev"),
-                   F.sum(F.col("n") * F.col("w")).alias("avail_count")))
+              .agg(F.sum(F.col("est") * F.col("w")).cast(DEC0).alias("total_rev"),
+                   F.sum("w").alias("avail_count")))
 
 
 def best_neighbourhood(star: Star) -> DataFrame:
@@ -125,10 +124,9 @@ def revenue_vs_mortgage(star: Star) -> DataFrame:
               .join(mortgage, "__code", "inner")
               .select("host_id", "host_lga", "median_mortage_repay_monthly").distinct())
     w = listing_weights(star.dim_listing, [])
-    rev = (f.where(avail() & F.col("listing_id").isNotNull())
-            .groupBy("host_id", "listing_id").agg(F.sum(est_price()).alias("__rev"))
+    rev = (f.where(avail()).select("host_id", "listing_id", est_price_long().alias("__est"))
             .join(w, "listing_id", "inner")
-            .groupBy("host_id").agg(F.sum(F.col("__rev") * F.col("w")).alias("total_rev")))
+            .groupBy("host_id").agg(F.sum(F.col("__est") * F.col("w")).cast(DEC0).alias("total_rev")))
     return (multi.join(lgas, "host_id", "inner").join(rev, "host_id", "inner")
             .select("host_id", "total_rev",
                     (F.col("median_mortage_repay_monthly") * 12).alias("yearly_mortgage"))

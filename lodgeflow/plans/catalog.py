@@ -65,12 +65,10 @@ def q_enrich_left_host(spark, sf):
 def q_natural_join_one_key(spark, sf):
     """Rows and listings of fact NATURAL JOIN dim_listing per neighbourhood."""
     star = analogue_star(spark, sf)
-    n = (star.fact.where(F.col("listing_id").isNotNull())
-         .groupBy("listing_id").agg(F.count("*").alias("n")))
     w = M.listing_weights(star.dim_listing, ["listing_neighbourhood"])
-    return (n.join(w, "listing_id", "inner").groupBy("listing_neighbourhood")
-             .agg(F.sum(F.col("n") * F.col("w")).alias("joined_rows"),
-                  F.count_distinct("listing_id").alias("listings")))
+    return (star.fact.select("listing_id").join(w, "listing_id", "inner")
+            .groupBy("listing_neighbourhood")
+            .agg(F.sum("w").alias("joined_rows"), F.count_distinct("listing_id").alias("listings")))
 
 
 def q_natural_join_two_keys_null(spark, sf):
@@ -130,22 +128,16 @@ NB = M.NEIGHBOURHOOD_KEYS
 def q_price_stats(spark, sf):
     """MIN/MAX/MEDIAN/AVG of available prices per neighbourhood (all months)."""
     star = analogue_star(spark, sf)
-    av = M.avail() & F.col("listing_id").isNotNull()
-    fs = (star.fact.where(av).groupBy("listing_id").agg(
-        F.min("price").alias("pmin"), F.max("price").alias("pmax"),
-        F.sum(F.col("price").cast(M.DEC0)).alias("psum"), F.count("price").alias("pcnt")))
     w = M.listing_weights(star.dim_listing, NB)
-    agg = (fs.join(w, "listing_id", "inner").groupBy(*NB).agg(
-        F.min("pmin").alias("min_price"), F.max("pmax").alias("max_price"),
-        F.sum(F.col("psum") * F.col("w")).alias("psum"),
-        F.sum(F.col("pcnt") * F.col("w")).alias("pcnt")))
-    fp = (star.fact.where(av & F.col("price").isNotNull())
-          .groupBy("listing_id", "price").agg(F.count("*").alias("c")))
-    med = (fp.join(w, "listing_id", "inner").groupBy(*NB)
-             .agg(F.percentile("price", F.lit(0.5), F.col("c") * F.col("w")).alias("med_price")))
-    return agg.join(med, NB, "left").select(
-        *NB, "min_price", "max_price", "med_price",
-        as_double(ratio6("psum", F.nullif(F.col("pcnt"), F.lit(0)))).alias("avg_price"))
+    j = star.fact.where(M.avail()).select("listing_id", "price").join(w, "listing_id", "inner")
+    price, wt = F.col("price"), F.col("w")
+    agg = j.groupBy(*NB).agg(
+        F.min(price).alias("min_price"), F.max(price).alias("max_price"),
+        F.percentile(price, F.lit(0.5), wt).alias("med_price"),
+        F.sum(price * wt).cast(M.DEC0).alias("psum"),
+        F.sum(F.when(price.isNotNull(), wt)).alias("pcnt"))
+    return agg.select(*NB, "min_price", "max_price", "med_price",
+                      as_double(ratio6("psum", F.nullif(F.col("pcnt"), F.lit(0)))).alias("avg_price"))
 
 
 def _counts_with_lags(star):

@@ -12,8 +12,9 @@ it is one pass per concern, with the same result:
   are collapsed to ``(listing_id, grain keys, rating) -> w`` and every
   aggregate is weighted (counts and sums by ``w``, MIN/MAX unchanged, the
   median through ``percentile(.., frequency)``).
-* The fact is pre-aggregated per (listing, month) before the join, so the
-  join input is one row per listing-month, not per fact row.
+* The fact joins the small weight table directly (broadcast when AQE
+  measures it small) and is aggregated partially before the one shuffle,
+  which carries (grain, month) groups only.
 * Lags run over the (grain, month) aggregate, whose window partitions hold
   one row per month.
 * Group survival of the twelve-way inner join (Q-03) becomes a filter:
@@ -50,6 +51,13 @@ def est_price() -> F.Column:
     return ((F.lit(30) - F.col("availability_30")) * F.col("price")).cast(DEC0)
 
 
+def est_price_long() -> F.Column:
+    """Row-level estimate as BIGINT for per-listing pre-aggregation: long sums
+    stay on Spark's fast path (an overflow fails the job under ANSI, it is
+    never silent); totals across listings are widened to DECIMAL(38,0)."""
+    return (F.lit(30) - F.col("availability_30")) * F.col("price")
+
+
 def listing_weights(dim_listing: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
     """Tie weights of the latest-snapshot listing dimension: how many dim rows
     carry each (listing_id, keys, extra) combination."""
@@ -57,70 +65,55 @@ def listing_weights(dim_listing: DataFrame, keys: list[str], extra: list[str] =
             .groupBy("listing_id", *keys, *extra).agg(F.count("*").alias("w")))
 
 
-def fact_by_listing_month(fact: DataFrame) -> DataFrame:
-    """Per (listing, month) partial sums the listing marts need (M-01..M-16)."""
-    price_av = F.when(avail(), F.col("price"))
-    return (fact.where(F.col("listing_id").isNotNull())
-            .groupBy("listing_id", "year_month").agg(
-                F.count("*").alias("n"),
-                F.count_if(avail()).alias("n_av"),
-                F.count_if(~avail()).alias("n_un"),
-                F.min(price_av).alias("pmin"),
-                F.max(price_av).alias("pmax"),
-                F.sum(price_av.cast(DEC0)).alias("psum"),
-                F.count(price_av).alias("pcnt"),
-                F.sum(F.when(avail(), F.lit(30) - F.col("availability_30")).cast(DEC0)).alias("stays"),
-                F.sum(F.when(avail(), est_price())).alias("rev")))
-
-
 def listing_counts(star: Star, keys: list[str]) -> DataFrame:
-    """Weighted aggregates of fact NATURAL JOIN dim_listing per (keys, month)."""
-    fs = fact_by_listing_month(star.fact)
+    """Weighted aggregates of fact NATURAL JOIN dim_listing per (keys, month),
+    including the exact median of available prices.
+
+    The fact joins the tie-weight table (one row per distinct
+    (listing, keys, rating)); AQE broadcasts it when it measures small, else
+    shuffles on listing_id with skew splitting.  Aggregation is partial
+    before the only shuffle, which carries (keys, month) groups, never fact
+    rows.  Row-level sums are BIGINT (an overflow fails the job under ANSI,
+    it is never silent) and are widened to DECIMAL(38,0) afterwards."""
+    f = star.fact.select("listing_id", "year_month", "has_availability", "price", "availability_30")
     w = listing_weights(star.dim_listing, keys, ["review_scores_rating"])
-    j = fs.join(w, "listing_id", "inner")
-    wt = F.col("w")
+    j = f.join(w, "listing_id", "inner")
+    wt, av, price = F.col("w"), avail(), F.col("price")
     rating = F.col("review_scores_rating")
-    return j.groupBy(*keys, "year_month").agg(
-        F.sum(F.col("n") * wt).alias("total_count"),
-        F.sum(F.col("n_av") * wt).alias("avail_count"),
-        F.sum(F.col("n_un") * wt).alias("unavail_count"),
-        F.min("pmin").alias("min_price"),
-        F.max("pmax").alias("max_price"),
-        F.sum(F.col("psum") * wt).alias("price_sum"),
-        F.sum(F.col("pcnt") * wt).alias("price_cnt"),
-        F.sum(F.col("stays") * wt).alias("total_num_stay"),
-        F.sum(F.col("rev") * wt).alias("total_rev"),
-        F.sum((rating * F.col("n_av") * wt).cast(DEC0)).alias("rating_sum"),
-        F.sum(F.when(rating.isNotNull(), F.col("n_av") * wt)).alias("rating_cnt"))
-
-
-def listing_median_price(star: Star, keys: list[str]) -> DataFrame:
-    """Exact median of available prices per (keys, month), ties weighted.
-
-    The fact is reduced to distinct (listing, month, price) counts first, so
-    the percentile buffers hold distinct prices, not rows."""
-    fp = (star.fact.where(avail() & F.col("price").isNotNull() & F.col("listing_id").isNotNull())
-          .groupBy("listing_id", "year_month", "price").agg(F.count("*").alias("c")))
-    w = listing_weights(star.dim_listing, keys)
-    return (fp.join(w, "listing_id", "inner")
-            .groupBy(*keys, "year_month")
-            .agg(F.percentile("price", F.lit(0.5), F.col("c") * F.col("w")).alias("median_price")))
+    stay = F.lit(30) - F.col("availability_30")
+    zero = F.lit(0)
+    agg = j.groupBy(*keys, "year_month").agg(
+        F.sum(wt).alias("total_count"),
+        F.sum(F.when(av, wt).otherwise(zero)).alias("avail_count"),
+        F.sum(F.when(~av, wt).otherwise(zero)).alias("unavail_count"),
+        F.min(F.when(av, price)).alias("min_price"),
+        F.max(F.when(av, price)).alias("max_price"),
+        F.percentile(F.when(av, price), F.lit(0.5), wt).alias("median_price"),
+        F.sum(F.when(av, price * wt)).alias("price_sum"),
+        F.sum(F.when(av & price.isNotNull(), wt)).alias("price_cnt"),
+        F.sum(F.when(av, stay * wt)).alias("total_num_stay"),
+        F.sum(F.when(av, stay * price * wt)).alias("total_rev"),
+        F.sum(F.when(av, rating * wt)).alias("rating_sum"),
+        F.sum(F.when(av & rating.isNotNull(), wt)).alias("rating_cnt"))
+    return agg.withColumns({c: F.col(c).cast(DEC0) for c in
+                            ("price_sum", "total_num_stay", "total_rev", "rating_sum")})
 
 
 def listing_hosts(star: Star, keys: list[str], by_month: bool = True) -> DataFrame:
     """COUNT(DISTINCT host_id) and distinct superhosts per (keys, month) over
     fact NATURAL JOIN dim_host (host_id, host_lga) NATURAL JOIN dim_listing.
 
-    Only distinctness is read from that join, so each side is first reduced
-    to distinct keys (dim_host ties -> one row per (host, lga) with
-    ``bool_or`` of the superhost flag).  NULL host_lga never matches (Q-05)."""
-    fh = (star.fact.where(F.col("listing_id").isNotNull() & F.col("host_id").isNotNull()
-                          & F.col("host_lga").isNotNull())
-          .select("listing_id", "host_id", "host_lga", "year_month").distinct())
+    Only distinctness is read from that join, so the dimensions are reduced
+    first (dim_host ties -> one row per (host, lga) with ``bool_or`` of the
+    superhost flag; dim_listing -> distinct (listing, keys)) and the
+    (keys, month, host) de-duplication is combined map-side.  NULL host_lga
+    never matches (Q-05)."""
+    g = keys + (["year_month"] if by_month else [])
+    fh = (star.fact.where(F.col("host_id").isNotNull() & F.col("host_lga").isNotNull())
+          .select("listing_id", "host_id", "host_lga", *(["year_month"] if by_month else [])))
     dh = (star.dim_host.where(F.col("host_id").isNotNull() & F.col("host_lga").isNotNull())
           .groupBy("host_id", "host_lga").agg(F.bool_or("host_is_superhost").alias("superhost")))
     dl = star.dim_listing.where(F.col("listing_id").isNotNull()).select("listing_id", *keys).distinct()
-    g = keys + (["year_month"] if by_month else [])
     per_host = (fh.join(dh, ["host_id", "host_lga"], "inner")
                   .join(dl, "listing_id", "inner")
                   .groupBy(*g, "host_id")
@@ -144,11 +137,9 @@ def listing_mart(star: Star, keys: list[str]) -> DataFrame:
     """M-18 / M-19 with the reference's DECIMAL scales."""
     counts = listing_lags(listing_counts(star, keys), keys)
     hosts = listing_hosts(star, keys)
-    med = listing_median_price(star, keys)
     g = keys + ["year_month"]
     j = (counts.where((F.col("avail_count") > 0) & (F.col("unavail_count") > 0))
-               .join(hosts.where(F.col("distinct_superhost") > 0), g, "inner")
-               .join(med, g, "left"))
+               .join(hosts.where(F.col("distinct_superhost") > 0), g, "inner"))
     return j.select(
         *g,
         pct6("avail_count", "total_count").alias("active_listing_rate"),
@@ -202,7 +193,8 @@ def host_mart_parts(star: Star) -> tuple[DataFrame, DataFrame]:
     fk = fact_with_host_lga_name(star).where(F.col("listing_id").isNotNull()
                                              & F.col("year_month").isNotNull())
     grp = (fk.groupBy("listing_id", "lga_name", "year_month")
-             .agg(F.sum("k").alias("n"), F.sum(F.col("k") * est_price()).alias("s")))
+             .agg(F.sum("k").alias("n"), F.sum(F.col("k") * est_price_long()).alias("s"))
+        .withColumn("s", F.col("s").cast(DEC0)))
     rev = (grp.groupBy("lga_name", "year_month")
               .agg(F.sum((F.col("n") * F.col("s")).cast(DEC0)).alias("total_rev"),
                    F.sum(F.col("n") * F.col("n")).alias("pair_rows")))
