@@ -78,11 +78,20 @@ def build_materialized_star(spark: SparkSession, sf_dir: str) -> Star:
                 dim_lga_suburb=star.dim_lga_suburb)
 
 
+def _usable(star: Star, spark: SparkSession) -> bool:
+    """A cached build is reused only by its own live session (ids of stopped
+    sessions can be recycled)."""
+    try:
+        return star.fact.sparkSession is spark and spark.sparkContext._jsc is not None
+    except Exception:  # noqa: BLE001 - a stopped context raises on access
+        return False
+
+
 def analogue_star(spark: SparkSession, sf_dir: str) -> Star:
     key = (id(spark), os.path.abspath(sf_dir), _fingerprint(sf_dir))
     with _LOCK:
         star = _BUILT.get(key)
-        if star is None:
+        if star is None or not _usable(star, spark):
             star = build_materialized_star(spark, sf_dir)
             _BUILT[key] = star
         return star

@@ -37,15 +37,37 @@ def _sources(src) -> dict[str, str]:
     return dict(src)
 
 
-def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False) -> dict[str, DataFrame]:
+def register_catalog(spark: SparkSession, tables: dict[str, str]) -> None:
+    """K-03: one namespace per layer, each table an external table over its
+    written files (``CREATE SCHEMA IF NOT EXISTS`` + ``CREATE TABLE .. USING
+    parquet LOCATION``); re-registration replaces the definition."""
+    for layer in LAYERS:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
+    for qualified, path in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{path}'")
+
+
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """K-02: every table as a temporary view for ad hoc SQL."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
+def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False,
+                 catalog: bool = False) -> dict[str, DataFrame]:
     """Build every table under ``dst/<layer>/<table>`` and return scans of them.
 
     ``src`` is the raw folder (all five datasets, told apart by file-name
-    pattern) or a dict with keys listing/g01/g02/code/suburb."""
+    pattern) or a dict with keys listing/g01/g02/code/suburb.  With
+    ``catalog=True`` the tables are also registered as ``<layer>.<table>``."""
     out: dict[str, DataFrame] = {}
+    paths: dict[str, str] = {}
 
     def put(layer: str, name: str, df: DataFrame, partition_by=None) -> DataFrame:
-        out[name] = write_table(df, os.path.join(dst, layer, name), partition_by)
+        path = os.path.join(dst, layer, name)
+        out[name] = write_table(df, path, partition_by)
+        paths[f"{layer}.{name}"] = path
         return out[name]
 
     st = staging_tables(spark, _sources(src), multiline)
@@ -73,4 +95,6 @@ def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False) ->
         M.property_mart(star).orderBy(*M.PROPERTY_KEYS, "year_month"))
     put("datamart", "dm_host_neighbourhood",
         M.host_mart(star).orderBy("host_neighbourhood_lga", "year_month"))
+    if catalog:
+        register_catalog(spark, paths)
     return out

@@ -52,6 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             root = None
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
+                               "intermediate tables must survive the loss of any one machine")
         # Local/test fallback only: a cluster names a shared folder itself.
         root = tempfile.mkdtemp(prefix="lodgeflow-ckpt-")
     sc.setCheckpointDir(root)

@@ -98,6 +98,17 @@ def test_host_mart_matches_k_squared_sql(spark, built):
     assert_same(df, con, host_mart_sql(TABLES_PREFIX))
 
 
+def test_views_and_catalog(spark, built):
+    from lodgeflow.plans.pipeline import register_catalog, register_views
+    _, dst, out = built
+    register_views({"fact_listing": out["fact_listing"]})
+    assert spark.sql("SELECT COUNT(*) AS n FROM fact_listing").first().n == out["fact_listing"].count()
+    register_catalog(spark, {"datamart.dm_host_neighbourhood":
+                             os.path.join(dst, "datamart", "dm_host_neighbourhood")})
+    n = spark.sql("SELECT COUNT(*) AS n FROM datamart.dm_host_neighbourhood").first().n
+    assert n == out["dm_host_neighbourhood"].count()
+
+
 def test_rerun_is_idempotent(spark, built):
     root, dst, out = built
     before = canon(*spark_rows(out["dm_listing_neighbourhood"]))
