@@ -140,5 +140,3 @@ def afford_counts(star: Star, can: bool) -> DataFrame:
         (F.col("total_rev") < F.col("yearly_mortgage"))
     return t.where(cond).agg(F.count("host_id").alias("can_afford" if can else "cannot_afford"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["DEC0"]

@@ -46,11 +46,6 @@ def avail() -> F.Column:
     return F.col("has_availability")
 
 
-def est_price() -> F.Column:
-    """(30 - availability_30) * price, summed as DECIMAL(38,0) (no overflow)."""
-    return ((F.lit(30) - F.col("availability_30")) * F.col("price")).cast(DEC0)
-
-
 def est_price_long() -> F.Column:
     """Row-level estimate as BIGINT for per-listing pre-aggregation: long sums
     stay on Spark's fast path (an overflow fails the job under ANSI, it is
