@@ -119,18 +119,18 @@ def revenue_vs_mortgage(star: Star) -> DataFrame:
     mortgage = (star.dim_lga_code
                 .select(F.col("lga_code").cast("bigint").alias("__code"),
                         "median_mortage_repay_monthly").distinct())
-    lgas = (f.select("host_id", "host_lga", F.col("listing_lga").cast("bigint").alias("__code"))
-              .distinct()
+    # Only (host, mortgage) reaches the output, so the DISTINCT over
+    # (host, host_lga, mortgage) and the final DISTINCT collapse into one.
+    lgas = (f.select("host_id", F.col("listing_lga").cast("bigint").alias("__code")).distinct()
               .join(mortgage, "__code", "inner")
-              .select("host_id", "host_lga", "median_mortage_repay_monthly").distinct())
+              .select("host_id", "median_mortage_repay_monthly").distinct())
     w = listing_weights(star.dim_listing, [])
     rev = (f.where(avail()).select("host_id", "listing_id", est_price_long().alias("__est"))
             .join(w, "listing_id", "inner")
             .groupBy("host_id").agg(F.sum(F.col("__est") * F.col("w")).cast(DEC0).alias("total_rev")))
     return (multi.join(lgas, "host_id", "inner").join(rev, "host_id", "inner")
             .select("host_id", "total_rev",
-                    (F.col("median_mortage_repay_monthly") * 12).alias("yearly_mortgage"))
-            .distinct())
+                    (F.col("median_mortage_repay_monthly") * 12).alias("yearly_mortgage")))
 
 
 def afford_counts(star: Star, can: bool) -> DataFrame:

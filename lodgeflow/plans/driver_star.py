@@ -67,8 +67,9 @@ def build_materialized_star(spark: SparkSession, sf_dir: str) -> Star:
     layers = analogue_layers(spark, sf_dir)
     final = materialize(layers["listing_final"], "listing_final")
     joined = materialize(layers["lga_joined"], "dim_lga_code")
-    suburb = materialize(layers["lga_suburb"], "lga_suburb")
-    star = build_star(final, joined, suburb)
+    # the suburb list (supplier x nation projection) is only projected by
+    # dim_lga_suburb: cheaper to recompute than to write
+    star = build_star(final, joined, layers["lga_suburb"])
     # fact_listing and dim_lga_suburb are projections of written tables:
     # parquet column pruning makes them as cheap to scan as copies.
     return Star(fact=star.fact,
