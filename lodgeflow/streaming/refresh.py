@@ -21,11 +21,18 @@ from ..plans.staging import staging_listing_from_raw
 
 
 def refresh_listing_staging(spark: SparkSession, src: str, dst: str,
-                            checkpoint: str | None = None) -> int:
+                            checkpoint: str | None = None,
+                            max_files_per_trigger: int | None = None) -> int:
     """Append newly arrived listing files under ``src`` to the parquet table
-    at ``dst``; returns the number of micro-batches run."""
+    at ``dst``; returns the number of micro-batches run.
+
+    ``max_files_per_trigger`` bounds each micro-batch (a large backfill is
+    then staged in several bounded batches; ``availableNow`` honours it)."""
     checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "streams", "staging_listing")
-    raw = C.csv_reader(spark, C.LISTING_COLUMNS, C.LISTING_GLOB, streaming=True).load(src, format="csv")
+    reader = C.csv_reader(spark, C.LISTING_COLUMNS, C.LISTING_GLOB, streaming=True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.load(src, format="csv")
     staged = staging_listing_from_raw(C.clean_tokens(raw, C.LISTING_COLUMNS))
     q = (staged.writeStream.format("parquet")
          .option("path", dst)

@@ -128,7 +128,10 @@ def test_streaming_refresh_stages_only_new_files(spark):
     first = spark.read.parquet(dst)
     assert first.count() == 24
     write_listing_month(root, 3)
-    refresh_listing_staging(spark, os.path.join(root, "listings"), dst, ckpt)
+    write_listing_month(root, 4)
+    batches = refresh_listing_staging(spark, os.path.join(root, "listings"), dst, ckpt,
+                                      max_files_per_trigger=1)
+    assert batches == 2                                  # one bounded batch per new file
     after = spark.read.parquet(dst)
-    assert after.count() == 36
-    assert sorted(r.m for r in after.select(F.month("year_month").alias("m")).distinct().collect()) == [1, 2, 3]
+    assert after.count() == 24 + 12 + 13
+    assert sorted(r.m for r in after.select(F.month("year_month").alias("m")).distinct().collect()) == [1, 2, 3, 4]
