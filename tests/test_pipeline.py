@@ -135,3 +135,17 @@ def test_streaming_refresh_stages_only_new_files(spark):
     after = spark.read.parquet(dst)
     assert after.count() == 24 + 12 + 13
     assert sorted(r.m for r in after.select(F.month("year_month").alias("m")).distinct().collect()) == [1, 2, 3, 4]
+
+
+def test_multiline_quoted_fields(spark):
+    """S-01: a quoted field may hold a newline when multiLine is on."""
+    from lodgeflow.sources.csv_files import raw_listing
+    from .fixtures import HEADER_LISTING, listing_rows, write_csv
+    root = tempfile.mkdtemp(prefix="lodgeflow-ml-")
+    rows = listing_rows(1)
+    rows[0][4] = '"Smith,\nJ"'
+    write_csv(os.path.join(root, "01_2021.csv"), HEADER_LISTING, rows)
+    df = raw_listing(spark, root, multiline=True)
+    got = df.collect()
+    assert len(got) == 12
+    assert [r.host_name for r in got if r.listing_id == "1"] == ["Smith,\nJ"]
