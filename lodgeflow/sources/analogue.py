@@ -122,34 +122,45 @@ def staging_listing(spark: SparkSession, sf_dir: str, bounded: bool | None = Non
     cn = n.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
     sn = n.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
 
+    # Attributes that depend on a dimension row only are derived on the
+    # dimension side, once per part / order / supplier instead of once per
+    # line item, before the fan-out join.
+    brand_no = F.regexp_extract("p_brand", r"[0-9]+", 0).try_cast("int")
+    parts = p.select(
+        "p_partkey",
+        F.col("p_type").alias("property_type"),
+        F.concat(F.lit("ROOM_"), (brand_no % 5).cast("string")).alias("room_type"),
+        F.floor((F.col("p_size") - 1) / 10).cast("int").alias("accomodates"))
     hosts = (o.join(c, o.o_custkey == c.c_custkey, "inner")
-              .join(cn, F.col("c_nationkey") == F.col("cn_key"), "left"))
-    sup = s.join(sn, F.col("s_nationkey") == F.col("sn_key"), "left")
-    lines = (li.join(p, li.l_partkey == p.p_partkey, "inner")
+              .join(cn, F.col("c_nationkey") == F.col("cn_key"), "left")
+              .select("o_orderkey",
+                      F.col("o_custkey").alias("host_id"),
+                      F.col("c_name").alias("host_name"),
+                      F.to_date("o_orderdate").cast("string").alias("host_since"),
+                      (F.col("c_mktsegment") == "BUILDING").alias("host_is_superhost"),
+                      "c_nationkey", F.upper("cn_name").alias("cn_name")))
+    sup = (s.join(sn, F.col("s_nationkey") == F.col("sn_key"), "left")
+            .select("s_suppkey", F.upper("sn_name").alias("sn_name")))
+    lines = (li.join(parts, li.l_partkey == parts.p_partkey, "inner")
                .join(sup, li.l_suppkey == sup.s_suppkey, "inner"))
     rows = lines.join(hosts, lines.l_orderkey == hosts.o_orderkey, "inner")
 
-    brand_no = F.regexp_extract("p_brand", r"[0-9]+", 0).cast("int")
+    ship = F.to_date("l_shipdate")
     return rows.select(
         F.col("l_partkey").alias("listing_id"),
         F.col("l_orderkey").alias("scrape_id"),
-        F.to_date("l_shipdate").alias("scraped_date"),
-        F.col("o_custkey").alias("host_id"),
-        F.col("c_name").alias("host_name"),
-        F.to_date("o_orderdate").cast("string").alias("host_since"),
-        (F.col("c_mktsegment") == "BUILDING").alias("host_is_superhost"),
-        F.upper(F.when(F.col("c_nationkey") == 0, F.lit(None).cast("string"))
-                 .when(F.col("l_linenumber") > 5, F.col("sn_name"))
-                 .otherwise(F.col("cn_name"))).alias("host_neighbourhood"),
-        F.upper("sn_name").alias("listing_neighbourhood"),
-        F.col("p_type").alias("property_type"),
-        F.concat(F.lit("ROOM_"), (brand_no % 5).cast("string")).alias("room_type"),
-        F.floor((F.col("p_size") - 1) / 10).cast("int").alias("accomodates"),
+        ship.alias("scraped_date"),
+        "host_id", "host_name", "host_since", "host_is_superhost",
+        F.when(F.col("c_nationkey") == 0, F.lit(None).cast("string"))
+         .when(F.col("l_linenumber") > 5, F.col("sn_name"))
+         .otherwise(F.col("cn_name")).alias("host_neighbourhood"),
+        F.col("sn_name").alias("listing_neighbourhood"),
+        "property_type", "room_type", "accomodates",
         F.floor("l_extendedprice").cast("bigint").alias("price"),
         (F.col("l_returnflag") != "N").alias("has_availability"),
         F.floor(F.col("l_quantity") / 2).cast("int").alias("availability_30"),
         F.col("l_linenumber").alias("number_of_reviews"),
         F.round(F.col("l_tax") * 100).cast("int").alias("review_scores_rating"),
         F.round(F.col("l_discount") * 100).cast("int").alias("review_scores_accuracy"),
-        F.trunc(F.to_date("l_shipdate"), "month").alias("year_month"),
+        F.trunc(ship, "month").alias("year_month"),
     )
