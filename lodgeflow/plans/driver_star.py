@@ -76,7 +76,8 @@ def build_materialized_star(spark: SparkSession, sf_dir: str) -> Star:
                 dim_host=materialize(star.dim_host, "dim_host"),
                 dim_listing=materialize(star.dim_listing, "dim_listing"),
                 dim_lga_code=joined,
-                dim_lga_suburb=star.dim_lga_suburb)
+                dim_lga_suburb=star.dim_lga_suburb,
+                listing_final=final)
 
 
 def _usable(star: Star, spark: SparkSession) -> bool:

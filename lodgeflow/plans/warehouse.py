@@ -85,9 +85,10 @@ class Star:
     dim_listing: DataFrame
     dim_lga_code: DataFrame
     dim_lga_suburb: DataFrame
+    listing_final: DataFrame | None = None   # the enriched table the star derives from
 
 
 def build_star(final: DataFrame, joined: DataFrame, suburb: DataFrame) -> Star:
     return Star(fact=fact_listing(final), dim_host=dim_host(final),
                 dim_listing=dim_listing(final), dim_lga_code=joined,
-                dim_lga_suburb=dim_lga_suburb(suburb))
+                dim_lga_suburb=dim_lga_suburb(suburb), listing_final=final)
