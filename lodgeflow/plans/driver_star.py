@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -62,22 +63,29 @@ def _fingerprint(sf_dir: str) -> tuple:
     return tuple(out)
 
 
+def _write_all(named: dict[str, "DataFrame"]) -> dict:
+    """Write independent tables as concurrent Spark jobs (each its own
+    driver thread); Spark schedules their tasks over the same executors."""
+    with ThreadPoolExecutor(max_workers=len(named)) as pool:
+        futures = {k: pool.submit(materialize, df, k) for k, df in named.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def build_materialized_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Write listing_final, fact, dims and the LGA tables; return scans of them."""
+    """Write listing_final, the LGA table and the latest-snapshot dims;
+    return scans of them."""
     layers = analogue_layers(spark, sf_dir)
-    final = materialize(layers["listing_final"], "listing_final")
-    joined = materialize(layers["lga_joined"], "dim_lga_code")
+    first = _write_all({"listing_final": layers["listing_final"],
+                        "dim_lga_code": layers["lga_joined"]})
+    final, joined = first["listing_final"], first["dim_lga_code"]
     # the suburb list (supplier x nation projection) is only projected by
     # dim_lga_suburb: cheaper to recompute than to write
     star = build_star(final, joined, layers["lga_suburb"])
-    # fact_listing and dim_lga_suburb are projections of written tables:
-    # parquet column pruning makes them as cheap to scan as copies.
-    return Star(fact=star.fact,
-                dim_host=materialize(star.dim_host, "dim_host"),
-                dim_listing=materialize(star.dim_listing, "dim_listing"),
-                dim_lga_code=joined,
-                dim_lga_suburb=star.dim_lga_suburb,
-                listing_final=final)
+    dims = _write_all({"dim_host": star.dim_host, "dim_listing": star.dim_listing})
+    # fact_listing and dim_lga_suburb are projections: parquet column pruning
+    # makes them as cheap to scan as copies.
+    return Star(fact=star.fact, dim_host=dims["dim_host"], dim_listing=dims["dim_listing"],
+                dim_lga_code=joined, dim_lga_suburb=star.dim_lga_suburb, listing_final=final)
 
 
 def _usable(star: Star, spark: SparkSession) -> bool:
