@@ -22,7 +22,11 @@ LISTING_BOOL = {"host_is_superhost", "has_availability"}
 
 
 def _bool(c: str):
-    return F.col(c).try_cast("boolean")
+    """Text -> boolean as the warehouse casts it: t/true/y/yes/1/on and
+    f/false/n/no/0/off in any case; anything else becomes NULL."""
+    v = F.lower(F.trim(F.col(c)))
+    return (F.when(v == "on", F.lit(True)).when(v == "off", F.lit(False))
+             .otherwise(v.try_cast("boolean")))
 
 
 def staging_listing_from_raw(raw: DataFrame) -> DataFrame:

@@ -49,3 +49,10 @@ def test_month_from_file_name(spark):
                                 ("/x/13_2020.csv",)], "p string")
     got = [r.v for r in df.select(month_from_file_name("p").alias("v")).collect()]
     assert [str(v) if v else None for v in got] == ["2020-05-01", "2021-12-01", None]
+
+
+def test_boolean_text(spark):
+    from lodgeflow.plans.staging import _bool
+    df = spark.createDataFrame([("t",), ("FALSE",), (" yes ",), ("On",), ("off",), ("0",), ("maybe",), (None,)], "b string")
+    got = [r.v for r in df.select(_bool("b").alias("v")).collect()]
+    assert got == [True, False, True, True, False, False, None, None]
