@@ -91,10 +91,12 @@ def build_materialized_star(spark: SparkSession, sf_dir: str) -> Star:
 def _usable(star: Star, spark: SparkSession) -> bool:
     """A cached build is reused only by its own live session (ids of stopped
     sessions can be recycled)."""
-    try:
-        return star.fact.sparkSession is spark and spark.sparkContext._jsc is not None
-    except Exception:  # noqa: BLE001 - a stopped context raises on access
+    if star.fact.sparkSession is not spark:
         return False
+    try:
+        return spark.sparkContext._jsc is not None
+    except Exception:  # noqa: BLE001 - Connect sessions: the identity check suffices
+        return True
 
 
 def analogue_star(spark: SparkSession, sf_dir: str) -> Star:

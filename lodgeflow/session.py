@@ -42,22 +42,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no context
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    root = None
+    if sc is not None:
+        root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         try:
             root = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             root = None
     if not root:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
                                "intermediate tables must survive the loss of any one machine")
         # Local/test fallback only: a cluster names a shared folder itself.
         root = tempfile.mkdtemp(prefix="lodgeflow-ckpt-")
-    sc.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 
