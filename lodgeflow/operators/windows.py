@@ -30,3 +30,27 @@ def mode_per_group(df: DataFrame, group: str, value: str) -> DataFrame:
     return (counts.withColumn("__rn", F.row_number().over(w))
                   .where(F.col("__rn") == 1)
                   .select(group, value))
+
+
+def modes_per_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    """``mode_per_group`` for several columns in one pass: one row per group
+    with the modal value of each column (same counts and tiebreak).
+
+    The rows are unpivoted to (group, column, value) -- values as text plus
+    a numeric sort key so numeric columns keep numeric tie order -- counted
+    once, ranked by one window, and pivoted back.  Groups with a NULL key
+    are dropped, as a natural join of per-column results would."""
+    types = dict(df.dtypes)
+    numeric = {c for c in columns if types[c] in ("int", "bigint", "smallint", "tinyint")}
+    cells = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value"),
+                      (F.col(c).cast("bigint") if c in numeric else F.lit(None).cast("bigint")).alias("num"))
+             for c in columns]
+    long = (df.where(F.col(group).isNotNull())
+              .select(group, F.explode(F.array(*cells)).alias("__c"))
+              .select(group, "__c.*"))
+    counts = long.groupBy(group, "col", "value", "num").agg(F.count("value").alias("__n"))
+    w = Window.partitionBy(group, "col").orderBy(
+        F.col("__n").desc(), F.col("num").asc_nulls_last(), F.col("value").asc_nulls_last())
+    top = counts.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)
+    picks = [F.max(F.when(F.col("col") == c, F.col("value"))).cast(types[c]).alias(c) for c in columns]
+    return top.groupBy(group).agg(*picks)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio6
-from ..operators.windows import mode_per_group
+from ..operators.windows import modes_per_group
 from .marts import DEC0, avail, est_price_long, listing_weights
 from .warehouse import Star
 
@@ -88,13 +88,10 @@ def listing_types_in_top5(star: Star) -> DataFrame:
 
 def modal_listing_types(star: Star) -> DataFrame:
     """N-07: per top-5 neighbourhood the property type, room type and
-    capacity occurring in most distinct combinations, natural-joined."""
+    capacity occurring in most distinct combinations (the three per-column
+    modes of the reference, computed in one pass over ``temp1``)."""
     t = listing_types_in_top5(star)
-    out = None
-    for col in ("property_type", "room_type", "accomodates"):
-        m = mode_per_group(t, "listing_neighbourhood", col)
-        out = m if out is None else out.join(m, "listing_neighbourhood", "inner")
-    return out
+    return modes_per_group(t, "listing_neighbourhood", ["property_type", "room_type", "accomodates"])
 
 
 def multi_lga_hosts(star: Star, same: bool) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.operators.joins import bounded_broadcast, natural_join
 from lodgeflow.operators.latest import latest_with_ties
-from lodgeflow.operators.windows import lag_of_existing, mode_per_group
+from lodgeflow.operators.windows import lag_of_existing, mode_per_group, modes_per_group
 
 D = dt.date
 
@@ -54,3 +54,14 @@ def test_bounded_broadcast_falls_back(spark):
     assert bounded_broadcast(small, 10) is not small  # hinted copy
     # beyond the bound the frame is returned unchanged (no hint)
     assert bounded_broadcast(big, 10) is big
+
+
+def test_modes_per_group_matches_single_column_modes(spark):
+    df = spark.createDataFrame([
+        ("N", "x", 10), ("N", "y", 9), ("N", "y", 10), ("N", "x", 2), ("N", "z", 9),
+        ("M", None, 1), ("M", "z", None), (None, "q", 3)], "g string, v string, n int")
+    got = {r.g: (r.v, r.n) for r in modes_per_group(df, "g", ["v", "n"]).collect()}
+    single_v = {r.g: r.v for r in mode_per_group(df, "g", "v").collect() if r.g is not None}
+    single_n = {r.g: r.n for r in mode_per_group(df, "g", "n").collect() if r.g is not None}
+    assert got == {g: (single_v[g], single_n[g]) for g in single_v}
+    assert got["N"] == ("x", 9)      # numeric tie order: 9 before 10 (as text "10" < "9")
