@@ -109,10 +109,24 @@ def multi_lga_hosts(star: Star, same: bool) -> DataFrame:
 
 def revenue_vs_mortgage(star: Star) -> DataFrame:
     """N-10 (view ``temp2``): DISTINCT host_id, total_rev, yearly_mortgage
-    for hosts with more than one fact row."""
+    for hosts with more than one fact row.
+
+    The reference joins three per-host CTEs; two of them fold into one
+    aggregate over a single fact scan: the fact LEFT JOINs the per-listing
+    tie weights (exactly one row per listing, so nothing multiplies), and
+    per host we count fact rows with a listing (cte1) and sum the weighted
+    revenue of available rows that met dim_listing (cte3, which exists only
+    if at least one such row exists)."""
     f = star.fact
-    multi = (f.groupBy("host_id").agg(F.count("listing_id").alias("__n"))
-              .where(F.col("__n") > 1).select("host_id"))
+    w = listing_weights(star.dim_listing, [])
+    joined = avail() & F.col("w").isNotNull()
+    per_host = (f.select("host_id", "listing_id", "has_availability", est_price_long().alias("__est"))
+                 .join(w, "listing_id", "left")
+                 .groupBy("host_id").agg(
+                     F.count("listing_id").alias("__n"),
+                     F.count_if(joined).alias("__m"),
+                     F.sum(F.when(joined, F.col("__est") * F.col("w"))).cast(DEC0).alias("total_rev"))
+                 .where((F.col("__n") > 1) & (F.col("__m") > 0)))
     mortgage = (star.dim_lga_code
                 .select(F.col("lga_code").cast("bigint").alias("__code"),
                         "median_mortage_repay_monthly").distinct())
@@ -121,11 +135,7 @@ def revenue_vs_mortgage(star: Star) -> DataFrame:
     lgas = (f.select("host_id", F.col("listing_lga").cast("bigint").alias("__code")).distinct()
               .join(mortgage, "__code", "inner")
               .select("host_id", "median_mortage_repay_monthly").distinct())
-    w = listing_weights(star.dim_listing, [])
-    rev = (f.where(avail()).select("host_id", "listing_id", est_price_long().alias("__est"))
-            .join(w, "listing_id", "inner")
-            .groupBy("host_id").agg(F.sum(F.col("__est") * F.col("w")).cast(DEC0).alias("total_rev")))
-    return (multi.join(lgas, "host_id", "inner").join(rev, "host_id", "inner")
+    return (per_host.join(lgas, "host_id", "inner")
             .select("host_id", "total_rev",
                     (F.col("median_mortage_repay_monthly") * 12).alias("yearly_mortgage")))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.plans import analysis as A
 from lodgeflow.plans import marts as M
-from lodgeflow.plans.oracle_sql import TABLES_PREFIX, host_mart_sql, listing_mart_sql
+from lodgeflow.plans.oracle_sql import TABLES_PREFIX, TEMP2, host_mart_sql, listing_mart_sql
 from lodgeflow.plans.warehouse import Star, build_star
 
 from .helpers import assert_same
@@ -98,6 +98,13 @@ GROUP BY listing_neighbourhood ORDER BY total_rev DESC NULLS FIRST, listing_neig
     assert_same(df, con, sql)
 
 
+def test_mortgage_view_under_skew(star, con):
+    df = A.revenue_vs_mortgage(star).withColumn("total_rev", F.col("total_rev").cast("bigint"))
+    assert df.count() > 0
+    sql = TABLES_PREFIX + TEMP2 + "SELECT host_id, CAST(total_rev AS BIGINT) AS total_rev, yearly_mortgage FROM temp2"
+    assert_same(df, con, sql)
+
+
 def _plan(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
