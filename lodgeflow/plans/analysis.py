@@ -46,22 +46,19 @@ def worst_neighbourhood(star: Star) -> DataFrame:
 
 
 def lga_population(star: Star, lga_name: DataFrame) -> DataFrame:
-    """N-03 / N-04: lga_name and Age_20_24_yr_P of the LGA whose code is
-    ``(SELECT DISTINCT lga_code FROM dim_lga_code WHERE lga_name = X)``,
-    provided a fact row lists in it; LIMIT 1.
-
-    ``lga_name`` is a one-row frame holding X.  The fact is only probed for
-    existence (semi-join on the single code), never joined row by row."""
-    d = star.dim_lga_code
-    code = (d.join(lga_name.select(F.col(lga_name.columns[0]).alias("__name")),
-                   d["lga_name"] == F.col("__name"), "left_semi")
-             .select(F.col("lga_code").cast("bigint").alias("__code")).distinct())
-    listed = (star.fact.select(F.col("listing_lga").cast("bigint").alias("__code"))
-              .join(code, "__code", "left_semi").limit(1))
-    rows = (d.withColumn("__code", F.col("lga_code").cast("bigint"))
-             .join(code, "__code", "left_semi")
-             .join(listed, "__code", "left_semi"))
-    return rows.select("lga_name", "Age_20_24_yr_P").limit(1)
+    """N-03 / N-04: lga_name and Age_20_24_yr_P of the LGA rows whose code is
+    ``(SELECT DISTINCT lga_code FROM dim_lga_code WHERE lga_name = X)`` and
+    that some fact row lists in; LIMIT 1.
+
+    ``lga_name`` is a one-row frame holding X, used once.  The fact is only
+    probed for which of those (few) codes it lists in -- a semi-join against
+    a tiny set with a map-side distinct -- never joined row by row."""
+    d = star.dim_lga_code.withColumn("__code", F.col("lga_code").cast("bigint"))
+    name = lga_name.select(F.col(lga_name.columns[0]).alias("__name"))
+    codes = d.join(name, d["lga_name"] == name["__name"], "left_semi").select("__code").distinct()
+    present = (star.fact.select(F.col("listing_lga").cast("bigint").alias("__code"))
+               .join(codes, "__code", "left_semi").distinct())
+    return d.join(present, "__code", "left_semi").select("lga_name", "Age_20_24_yr_P").limit(1)
 
 
 def top5_neighbourhoods(star: Star) -> DataFrame:
