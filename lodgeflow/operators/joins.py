@@ -51,3 +51,15 @@ def lookup_join(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
                        *[F.col(src).alias(dst) for src, dst in take.items()])
     lk = F.broadcast(lk) if bounded else bounded_broadcast(lk, max_rows)
     return df.join(lk, df[left_on] == lk["__lk"], how).drop("__lk")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join two results of the same GROUP BY on their keys, NULL group keys
+    included (``<=>``), keeping one copy of each key column."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])

@@ -62,8 +62,11 @@ def lga_population(star: Star, lga_name: DataFrame) -> DataFrame:
 
 
 def top5_neighbourhoods(star: Star) -> DataFrame:
-    """N-05 (view ``temp``): revenue per available joined row, top 5."""
-    r = revenue_by_neighbourhood(star).where(F.col("avail_count") > 0)
+    """N-05 (view ``temp``): revenue per available joined row, top 5.  The
+    view natural-joins two per-neighbourhood results, so a NULL
+    neighbourhood never qualifies."""
+    r = revenue_by_neighbourhood(star).where((F.col("avail_count") > 0)
+                                             & F.col("listing_neighbourhood").isNotNull())
     return (r.select("listing_neighbourhood",
                      ratio6("total_rev", "avail_count").alias("avg_est_price"))
              .orderBy(F.col("avg_est_price").desc_nulls_first(),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import as_double, pct_change, ratio6, rounding_int
 from ..functions.text import file_name, month_from_file_name, strip_code_prefix
+from ..operators.joins import join_null_safe
 from ..sources.tables import read_table
 from . import analysis as A
 from . import marts as M
@@ -143,11 +144,12 @@ def q_price_stats(spark, sf):
     price, wt = F.col("price"), F.col("w")
     agg = j.groupBy(*NB).agg(
         F.min(price).alias("min_price"), F.max(price).alias("max_price"),
-        F.percentile(price, F.lit(0.5), wt).alias("med_price"),
         F.sum(price * wt).cast(M.DEC0).alias("psum"),
         F.sum(F.when(price.isNotNull(), wt)).alias("pcnt"))
-    return agg.select(*NB, "min_price", "max_price", "med_price",
-                      as_double(ratio6("psum", F.nullif(F.col("pcnt"), F.lit(0)))).alias("avg_price"))
+    med = M.weighted_median(j, NB, "price", "w")
+    return join_null_safe(agg, med, NB, "left").select(
+        *NB, "min_price", "max_price", F.col("median_price").alias("med_price"),
+        as_double(ratio6("psum", F.nullif(F.col("pcnt"), F.lit(0)))).alias("avg_price"))
 
 
 def _counts_with_lags(star):

@@ -11,7 +11,8 @@ it is one pass per concern, with the same result:
   count.  Emitting those pairs is quadratic in a hot listing; instead ties
   are collapsed to ``(listing_id, grain keys, rating) -> w`` and every
   aggregate is weighted (counts and sums by ``w``, MIN/MAX unchanged, the
-  median through ``percentile(.., frequency)``).
+  median through ``percentile(.., frequency)`` over a (value -> weight)
+  pre-aggregate).
 * The fact joins the small weight table directly (broadcast when AQE
   measures it small) and is aggregated partially before the one shuffle,
   which carries (grain, month) groups only.
@@ -61,8 +62,7 @@ def listing_weights(dim_listing: DataFrame, keys: list[str], extra: list[str] =
 
 
 def listing_counts(star: Star, keys: list[str]) -> DataFrame:
-    """Weighted aggregates of fact NATURAL JOIN dim_listing per (keys, month),
-    including the exact median of available prices.
+    """Weighted aggregates of fact NATURAL JOIN dim_listing per (keys, month).
 
     The fact joins the tie-weight table (one row per distinct
     (listing, keys, rating)); AQE broadcasts it when it measures small, else
@@ -83,7 +83,6 @@ def listing_counts(star: Star, keys: list[str]) -> DataFrame:
         F.sum(F.when(~av, wt).otherwise(zero)).alias("unavail_count"),
         F.min(F.when(av, price)).alias("min_price"),
         F.max(F.when(av, price)).alias("max_price"),
-        F.percentile(F.when(av, price), F.lit(0.5), wt).alias("median_price"),
         F.sum(F.when(av, price * wt)).alias("price_sum"),
         F.sum(F.when(av & price.isNotNull(), wt)).alias("price_cnt"),
         F.sum(F.when(av, stay * wt)).alias("total_num_stay"),
@@ -94,6 +93,28 @@ def listing_counts(star: Star, keys: list[str]) -> DataFrame:
                             ("price_sum", "total_num_stay", "total_rev", "rating_sum")})
 
 
+def weighted_median(df: DataFrame, groups: list[str], value: str, weight: str) -> DataFrame:
+    """Exact interpolated median of ``value`` per group, each row counted
+    ``weight`` times.
+
+    A plain hash aggregate first reduces rows to (groups, value) -> total
+    weight (combined map-side); ``percentile`` then runs over distinct values
+    only, so its per-group buffers never see raw rows and the big aggregate
+    stays a Tungsten hash aggregate."""
+    reduced = (df.where(F.col(value).isNotNull())
+                 .groupBy(*groups, value).agg(F.sum(weight).alias("__c")))
+    return reduced.groupBy(*groups).agg(
+        F.percentile(value, F.lit(0.5), F.col("__c")).alias("median_" + value))
+
+
+def listing_median_price(star: Star, keys: list[str]) -> DataFrame:
+    """Median of available prices per (keys, month) over fact NATURAL JOIN
+    dim_listing; shares the weight table (and its exchange) with the counts."""
+    f = star.fact.where(avail()).select("listing_id", "year_month", "price")
+    w = listing_weights(star.dim_listing, keys, ["review_scores_rating"])
+    return weighted_median(f.join(w, "listing_id", "inner"), keys + ["year_month"], "price", "w")
+
+
 def listing_hosts(star: Star, keys: list[str], by_month: bool = True) -> DataFrame:
     """COUNT(DISTINCT host_id) and distinct superhosts per (keys, month) over
     fact NATURAL JOIN dim_host (host_id, host_lga) NATURAL JOIN dim_listing.
@@ -132,9 +153,11 @@ def listing_mart(star: Star, keys: list[str]) -> DataFrame:
     """M-18 / M-19 with the reference's DECIMAL scales."""
     counts = listing_lags(listing_counts(star, keys), keys)
     hosts = listing_hosts(star, keys)
+    med = listing_median_price(star, keys)
     g = keys + ["year_month"]
     j = (counts.where((F.col("avail_count") > 0) & (F.col("unavail_count") > 0))
-               .join(hosts.where(F.col("distinct_superhost") > 0), g, "inner"))
+               .join(hosts.where(F.col("distinct_superhost") > 0), g, "inner")
+               .join(med, g, "left"))
     return j.select(
         *g,
         pct6("avail_count", "total_count").alias("active_listing_rate"),

@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lodgeflow.operators.joins import bounded_broadcast, natural_join
+from lodgeflow.operators.joins import bounded_broadcast, join_null_safe, natural_join
 from lodgeflow.operators.latest import latest_with_ties
 from lodgeflow.operators.windows import lag_of_existing, mode_per_group, modes_per_group
 
@@ -65,3 +65,10 @@ def test_modes_per_group_matches_single_column_modes(spark):
     single_n = {r.g: r.n for r in mode_per_group(df, "g", "n").collect() if r.g is not None}
     assert got == {g: (single_v[g], single_n[g]) for g in single_v}
     assert got["N"] == ("x", 9)      # numeric tie order: 9 before 10 (as text "10" < "9")
+
+
+def test_join_null_safe_keeps_null_groups(spark):
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
+    b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
+    got = sorted((r.k or "", r.a, r.b) for r in join_null_safe(a, b, ["k"]).collect())
+    assert got == [("", 1, 10), ("x", 2, 20)]

@@ -33,7 +33,8 @@ def _listing_final_rows():
             host_name="h", host_since="2015-01-01",
             host_is_superhost=(i % 4 == 0) if not hot else True,
             host_neighbourhood="X",
-            listing_neighbourhood=["N1", "N2", "N3"][i % 3 if not hot else (i // 3) % 2],
+            listing_neighbourhood=(None if (not hot and i % 29 == 0) else
+                                   ["N1", "N2", "N3"][i % 3 if not hot else (i // 3) % 2]),
             property_type=["P1", "P2"][i % 2], room_type="R", accomodates=1 + i % 3,
             number_of_reviews=i % 5, review_scores_rating=None if i % 7 == 0 else 80 + i % 20,
             review_scores_accuracy=9,
@@ -98,6 +99,13 @@ GROUP BY listing_neighbourhood ORDER BY total_rev DESC NULLS FIRST, listing_neig
     assert_same(df, con, sql)
 
 
+def test_top5_and_price_stats_with_null_neighbourhood(star, con):
+    from lodgeflow.plans.oracle_sql import TEMP
+    assert star.dim_listing.where(F.col("listing_neighbourhood").isNull()).count() > 0
+    top = A.top5_neighbourhoods(star).withColumn("avg_est_price", F.col("avg_est_price").cast("double"))
+    assert_same(top, con, TABLES_PREFIX + TEMP + "SELECT * FROM temp")
+
+
 def test_mortgage_view_under_skew(star, con):
     df = A.revenue_vs_mortgage(star).withColumn("total_rev", F.col("total_rev").cast("bigint"))
     assert df.count() > 0
