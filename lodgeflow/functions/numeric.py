@@ -13,7 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEC0 = "decimal(38,0)"
-RATE_TYPE = "decimal(38,6)"
 MEDIAN_TYPE = "decimal(38,3)"
 
 
@@ -37,16 +36,6 @@ def pct_change(current, baseline) -> Column:
     return ratio6(_col(current) - base, F.nullif(base, F.lit(0))) * F.lit(100)
 
 
-def decimal_avg(total, count) -> Column:
-    """AVG as exact ``sum / count`` at scale 6 (Spark's avg(decimal) keeps 4)."""
-    return ratio6(total, F.nullif(_col(count), F.lit(0)))
-
-
-def median_decimal(c) -> Column:
-    """Exact interpolated median, DECIMAL(38,3)."""
-    return F.median(_col(c)).cast(MEDIAN_TYPE)
-
-
 def rounding_int(text) -> Column:
     """Numeric text -> BIGINT, rounded half away from zero ('4.6' -> 5,
     '2.5' -> 3); text that is not a number becomes NULL (F-10, Q-11)."""

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup above this many rows is joined by shuffle instead of broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
+# The hinted sides are narrow name -> code lookups (a few columns), so the
+# row bound is also a byte bound of a few MB.
+BROADCAST_MAX_ROWS = 100_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
