@@ -55,12 +55,15 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 
 def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False,
-                 catalog: bool = False) -> dict[str, DataFrame]:
+                 catalog: bool = False, staged_listing: str | None = None) -> dict[str, DataFrame]:
     """Build every table under ``dst/<layer>/<table>`` and return scans of them.
 
     ``src`` is the raw folder (all five datasets, told apart by file-name
     pattern) or a dict with keys listing/g01/g02/code/suburb.  With
-    ``catalog=True`` the tables are also registered as ``<layer>.<table>``."""
+    ``catalog=True`` the tables are also registered as ``<layer>.<table>``.
+    ``staged_listing`` names a listing staging table kept current by the
+    streaming refresh; the rebuild then reads it instead of re-parsing every
+    monthly CSV file."""
     out: dict[str, DataFrame] = {}
     paths: dict[str, str] = {}
 
@@ -71,9 +74,13 @@ def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False,
         return out[name]
 
     st = staging_tables(spark, _sources(src), multiline)
-    for name in ("staging_listing", "staging_census_g01", "staging_census_g02",
+    for name in ("staging_census_g01", "staging_census_g02",
                  "staging_lga_code", "staging_lga_suburb"):
         put("staging", name, st[name])
+    if staged_listing:
+        out["staging_listing"] = spark.read.parquet(staged_listing)
+    else:
+        put("staging", "staging_listing", st["staging_listing"])
 
     joined = put("staging", "staging_lga_joined",
                  lga_joined(out["staging_lga_suburb"], out["staging_lga_code"],
