@@ -1,6 +1,7 @@
 """Command line: the pipeline run that replaces the original task DAG.
 
     python -m lodgeflow pipeline --src RAW_DIR --dst WAREHOUSE_DIR [--catalog] [--multiline]
+                                 [--staged-listing STAGING_TABLE_DIR]
     python -m lodgeflow refresh  --src LISTING_DIR --dst STAGING_TABLE_DIR [--max-files N]
 """
 
@@ -21,6 +22,8 @@ def main(argv=None) -> None:
     p.add_argument("--dst", required=True)
     p.add_argument("--catalog", action="store_true", help="register <layer>.<table> in the catalog")
     p.add_argument("--multiline", action="store_true", help="allow newlines in quoted fields")
+    p.add_argument("--staged-listing", default=None,
+                   help="listing staging table kept current by `refresh` (skips re-parsing CSVs)")
     r = sub.add_parser("refresh", help="stage newly arrived monthly listing files")
     r.add_argument("--src", required=True)
     r.add_argument("--dst", required=True)
@@ -31,7 +34,8 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     if args.cmd == "pipeline":
-        tables = run_pipeline(spark, args.src, args.dst, multiline=args.multiline, catalog=args.catalog)
+        tables = run_pipeline(spark, args.src, args.dst, multiline=args.multiline,
+                              catalog=args.catalog, staged_listing=args.staged_listing)
         print("wrote", ", ".join(sorted(tables)))
     else:
         n = refresh_listing_staging(spark, args.src, args.dst, args.checkpoint, args.max_files)
