@@ -62,14 +62,17 @@ def listing_weights(dim_listing: DataFrame, keys: list[str], extra: list[str] =
 
 
 def listing_counts(star: Star, keys: list[str]) -> DataFrame:
-    """Weighted aggregates of fact NATURAL JOIN dim_listing per (keys, month).
+    """Weighted aggregates of fact NATURAL JOIN dim_listing per (keys, month),
+    with the exact median of available prices, from one fact scan.
 
     The fact joins the tie-weight table (one row per distinct
     (listing, keys, rating)); AQE broadcasts it when it measures small, else
-    shuffles on listing_id with skew splitting.  Aggregation is partial
-    before the only shuffle, which carries (keys, month) groups, never fact
-    rows.  Row-level sums are BIGINT (an overflow fails the job under ANSI,
-    it is never silent) and are widened to DECIMAL(38,0) afterwards."""
+    shuffles on listing_id with skew splitting.  Every metric is additive
+    except MIN/MAX/median, so a first hash aggregate (combined map-side)
+    reduces the joined rows to (keys, month, price) partial sums; the second
+    aggregate rolls those up and runs ``percentile`` over distinct prices
+    only.  Row-level sums are BIGINT (an overflow fails the job under ANSI,
+    it is never silent) and are widened to DECIMAL(38,0) at the end."""
     f = star.fact.select("listing_id", "year_month", "has_availability", "price", "availability_30")
     w = listing_weights(star.dim_listing, keys, ["review_scores_rating"])
     j = f.join(w, "listing_id", "inner")
@@ -77,18 +80,28 @@ def listing_counts(star: Star, keys: list[str]) -> DataFrame:
     rating = F.col("review_scores_rating")
     stay = F.lit(30) - F.col("availability_30")
     zero = F.lit(0)
-    agg = j.groupBy(*keys, "year_month").agg(
-        F.sum(wt).alias("total_count"),
-        F.sum(F.when(av, wt).otherwise(zero)).alias("avail_count"),
-        F.sum(F.when(~av, wt).otherwise(zero)).alias("unavail_count"),
-        F.min(F.when(av, price)).alias("min_price"),
-        F.max(F.when(av, price)).alias("max_price"),
-        F.sum(F.when(av, price * wt)).alias("price_sum"),
-        F.sum(F.when(av & price.isNotNull(), wt)).alias("price_cnt"),
-        F.sum(F.when(av, stay * wt)).alias("total_num_stay"),
-        F.sum(F.when(av, stay * price * wt)).alias("total_rev"),
-        F.sum(F.when(av, rating * wt)).alias("rating_sum"),
-        F.sum(F.when(av & rating.isNotNull(), wt)).alias("rating_cnt"))
+    by_price = j.groupBy(*keys, "year_month", "price").agg(
+        F.sum(wt).alias("n"),
+        F.sum(F.when(av, wt).otherwise(zero)).alias("n_av"),
+        F.sum(F.when(~av, wt).otherwise(zero)).alias("n_un"),
+        F.sum(F.when(av, stay * wt)).alias("stays"),
+        F.sum(F.when(av, stay * price * wt)).alias("rev"),
+        F.sum(F.when(av, rating * wt)).alias("r_sum"),
+        F.sum(F.when(av & rating.isNotNull(), wt)).alias("r_cnt"))
+    p_av = F.when(F.col("n_av") > 0, F.col("price"))
+    agg = by_price.groupBy(*keys, "year_month").agg(
+        F.sum("n").alias("total_count"),
+        F.sum("n_av").alias("avail_count"),
+        F.sum("n_un").alias("unavail_count"),
+        F.min(p_av).alias("min_price"),
+        F.max(p_av).alias("max_price"),
+        F.percentile(p_av, F.lit(0.5), F.greatest(F.col("n_av"), F.lit(1))).alias("median_price"),
+        F.sum(p_av * F.col("n_av")).alias("price_sum"),
+        F.sum(F.when(p_av.isNotNull(), F.col("n_av"))).alias("price_cnt"),
+        F.sum("stays").alias("total_num_stay"),
+        F.sum("rev").alias("total_rev"),
+        F.sum("r_sum").alias("rating_sum"),
+        F.sum("r_cnt").alias("rating_cnt"))
     return agg.withColumns({c: F.col(c).cast(DEC0) for c in
                             ("price_sum", "total_num_stay", "total_rev", "rating_sum")})
 
@@ -107,14 +120,6 @@ def weighted_median(df: DataFrame, groups: list[str], value: str, weight: str) -
         F.percentile(value, F.lit(0.5), F.col("__c")).alias("median_" + value))
 
 
-def listing_median_price(star: Star, keys: list[str]) -> DataFrame:
-    """Median of available prices per (keys, month) over fact NATURAL JOIN
-    dim_listing; shares the weight table (and its exchange) with the counts."""
-    f = star.fact.where(avail()).select("listing_id", "year_month", "price")
-    w = listing_weights(star.dim_listing, keys, ["review_scores_rating"])
-    return weighted_median(f.join(w, "listing_id", "inner"), keys + ["year_month"], "price", "w")
-
-
 def listing_hosts(star: Star, keys: list[str], by_month: bool = True) -> DataFrame:
     """COUNT(DISTINCT host_id) and distinct superhosts per (keys, month) over
     fact NATURAL JOIN dim_host (host_id, host_lga) NATURAL JOIN dim_listing.
@@ -153,11 +158,9 @@ def listing_mart(star: Star, keys: list[str]) -> DataFrame:
     """M-18 / M-19 with the reference's DECIMAL scales."""
     counts = listing_lags(listing_counts(star, keys), keys)
     hosts = listing_hosts(star, keys)
-    med = listing_median_price(star, keys)
     g = keys + ["year_month"]
     j = (counts.where((F.col("avail_count") > 0) & (F.col("unavail_count") > 0))
-               .join(hosts.where(F.col("distinct_superhost") > 0), g, "inner")
-               .join(med, g, "left"))
+               .join(hosts.where(F.col("distinct_superhost") > 0), g, "inner"))
     return j.select(
         *g,
         pct6("avail_count", "total_count").alias("active_listing_rate"),
