@@ -14,8 +14,11 @@ it is one pass per concern, with the same result:
   median through ``percentile(.., frequency)`` over a (value -> weight)
   pre-aggregate).
 * The fact joins the small weight table directly (broadcast when AQE
-  measures it small) and is aggregated partially before the one shuffle,
-  which carries (grain, month) groups only.
+  measures it small).  A hash aggregate, combined map-side, reduces the
+  joined rows to (grain, month, price) partial sums -- every metric is
+  additive except MIN/MAX/median -- and a second aggregate rolls them up
+  and takes the median over distinct prices: one fact scan for all counts,
+  sums and the median; a second scan only for the distinct hosts.
 * Lags run over the (grain, month) aggregate, whose window partitions hold
   one row per month.
 * Group survival of the twelve-way inner join (Q-03) becomes a filter:
@@ -43,6 +46,7 @@ NEIGHBOURHOOD_KEYS = ["listing_neighbourhood"]
 PROPERTY_KEYS = ["property_type", "room_type", "accomodates"]
 DEC0 = "decimal(38,0)"
 
+
 def avail() -> F.Column:
     return F.col("has_availability")
 
