@@ -163,3 +163,17 @@ def test_rebuild_from_streamed_staging_matches_batch(spark, built):
     for name in ("dm_listing_neighbourhood", "dm_property_type", "dm_host_neighbourhood"):
         batch = spark.read.parquet(os.path.join(dst_batch, "datamart", name))   # fresh listing
         assert canon(*spark_rows(again[name])) == canon(*spark_rows(batch)), name
+
+
+def test_cli_refresh_and_pipeline(spark, capsys):
+    from lodgeflow.__main__ import main
+    root = tempfile.mkdtemp(prefix="lodgeflow-cli-")
+    write_fixture(root, months=(1, 2))
+    staged = os.path.join(root, "stg")
+    main(["refresh", "--src", os.path.join(root, "listings"), "--dst", staged,
+          "--checkpoint", os.path.join(root, "ckpt")])
+    dst = os.path.join(root, "wh")
+    main(["pipeline", "--src", root, "--dst", dst, "--staged-listing", staged])
+    out = capsys.readouterr().out
+    assert "micro-batches" in out and "dm_host_neighbourhood" in out
+    assert spark.read.parquet(os.path.join(dst, "datawarehouse", "fact_listing")).count() == 2 * (12 + 2)
