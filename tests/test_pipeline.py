@@ -177,3 +177,23 @@ def test_cli_refresh_and_pipeline(spark, capsys):
     out = capsys.readouterr().out
     assert "micro-batches" in out and "dm_host_neighbourhood" in out
     assert spark.read.parquet(os.path.join(dst, "datawarehouse", "fact_listing")).count() == 2 * (12 + 2)
+
+
+def test_ad_hoc_spark_sql_over_written_tables(spark, built):
+    """P-18..P-20 over the written tables: a CTE inside a derived table, a
+    lateral column alias over aggregates, GROUP BY a select alias."""
+    from lodgeflow.plans.pipeline import register_views
+    _, dst, _ = built
+    wh = os.path.join(dst, "datawarehouse")
+    register_views({t: spark.read.parquet(os.path.join(wh, t))
+                    for t in ("fact_listing", "dim_listing")})
+    got = spark.sql("""
+        SELECT * FROM (
+          WITH av AS (SELECT listing_id, year_month, price FROM fact_listing
+                      WHERE has_availability = TRUE)
+          SELECT d.listing_neighbourhood AS nb, COUNT(*) AS n, SUM(av.price) AS total,
+                 (total / n) AS per_row
+          FROM av JOIN dim_listing d ON av.listing_id = d.listing_id
+          GROUP BY nb)
+        ORDER BY nb""").collect()
+    assert got and all(r.per_row == r.total / r.n for r in got if r.total is not None)
