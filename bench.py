@@ -4,7 +4,7 @@ and print one JSON line.
 Method: the warehouse layer (staging joins, fact, latest-snapshot dims) is
 built and written once, as the pipeline does, and timed cold as
 ``build_warehouse``.  Each query then runs once untimed (code generation,
-JIT) and ``$BENCH_REPS`` (default 3) timed runs; the median is reported.
+JIT) and ``$BENCH_REPS`` (default 5) timed runs; the median is reported.
 A timed run is plan + execute + collect.  ``value`` is the build time plus
 the sum of the query medians."""
 
@@ -42,7 +42,7 @@ def _time(fn) -> float:
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", cpus * 2,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
