@@ -11,19 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup above this many rows is joined by shuffle instead of broadcast.
-# The hinted sides are narrow name -> code lookups (a few columns), so the
-# row bound is also a byte bound of a few MB.
+# A hinted side may hold at most this many rows and (estimated) bytes;
+# beyond either bound it is joined by shuffle instead.
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+# Conservative per-value widths used to turn a row bound into a byte bound.
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+          "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+_DEFAULT_WIDTH = 64   # strings, decimals, nested values
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side is proven to hold <= ``max_rows``.
 
-    The check is a bounded job (``limit(max_rows + 1).count()``), so it costs
-    at most ``max_rows`` rows of work however large the input is."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def row_width(df: DataFrame) -> int:
+    """Upper-bound-ish bytes per row from the schema (8 bytes row overhead)."""
+    return 8 + sum(_WIDTH.get(t, _DEFAULT_WIDTH) for _, t in df.dtypes)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when the side is proven small: at most
+    ``max_rows`` rows and ``max_bytes`` estimated bytes.
+
+    The check is a bounded job (``limit(cap + 1).count()``), so it costs at
+    most ``cap`` rows of work however large the input is."""
+    cap = max(1, min(max_rows, max_bytes // row_width(df)))
+    n = df.limit(cap + 1).count()
+    return F.broadcast(df) if n <= cap else df
 
 
 def common_columns(left: DataFrame, right: DataFrame) -> list[str]:

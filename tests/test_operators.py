@@ -72,3 +72,11 @@ def test_join_null_safe_keeps_null_groups(spark):
     b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
     got = sorted((r.k or "", r.a, r.b) for r in join_null_safe(a, b, ["k"]).collect())
     assert got == [("", 1, 10), ("x", 2, 20)]
+
+
+def test_bounded_broadcast_byte_bound(spark):
+    from lodgeflow.operators.joins import row_width
+    wide = spark.range(50).selectExpr(*[f"cast(id as string) as c{i}" for i in range(10)])
+    assert row_width(wide) == 8 + 10 * 64
+    assert bounded_broadcast(wide, max_rows=1000, max_bytes=10 * 648) is wide      # > 10 rows of bytes
+    assert bounded_broadcast(wide, max_rows=1000, max_bytes=100 * 648) is not wide
