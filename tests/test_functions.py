@@ -56,3 +56,29 @@ def test_boolean_text(spark):
     df = spark.createDataFrame([("t",), ("FALSE",), (" yes ",), ("On",), ("off",), ("0",), ("maybe",), (None,)], "b string")
     got = [r.v for r in df.select(_bool("b").alias("v")).collect()]
     assert got == [True, False, True, True, False, False, None, None]
+
+
+def test_ratio6_agrees_with_exact_decimal_and_the_oracle(spark):
+    """Spark's DECIMAL(38,0) division, exact half-up arithmetic and the SQL
+    oracle's integer emulation give the same six-digit result."""
+    import random
+    from decimal import ROUND_HALF_UP
+
+    import duckdb
+
+    from lodgeflow.plans.oracle_sql import _r6
+
+    rnd = random.Random(7)
+    pairs = [(rnd.randint(-10**9, 10**9), rnd.choice([-1, 1]) * rnd.randint(1, 10**6))
+             for _ in range(2000)]
+    pairs += [(1, 2_000_000), (-1, 2_000_000), (3, 2_000_000), (1, 8), (-5, 16), (1481, 1485)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = {(r.a, r.b): r.q for r in df.select("a", "b", ratio6("a", "b").alias("q")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (a BIGINT, b BIGINT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", pairs)
+    oracle = {(a, b): m for a, b, m in con.execute(f"SELECT a, b, {_r6('a', 'b')} FROM t").fetchall()}
+    for a, b in pairs:
+        exact = (Decimal(a) / Decimal(b)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP)
+        assert got[(a, b)] == exact, (a, b)
+        assert Decimal(int(oracle[(a, b)])) / Decimal(10**6) == exact, (a, b)
