@@ -80,3 +80,21 @@ def test_bounded_broadcast_byte_bound(spark):
     assert row_width(wide) == 8 + 10 * 64
     assert bounded_broadcast(wide, max_rows=1000, max_bytes=10 * 648) is wide      # > 10 rows of bytes
     assert bounded_broadcast(wide, max_rows=1000, max_bytes=100 * 648) is not wide
+
+
+def test_weighted_median_equals_median_of_repeated_values(spark):
+    import random
+
+    import numpy as np
+
+    from lodgeflow.plans.marts import weighted_median
+
+    rnd = random.Random(11)
+    rows = [(f"g{rnd.randint(0, 9)}", rnd.choice([None] + list(range(1, 60))), rnd.randint(1, 4))
+            for _ in range(600)]
+    df = spark.createDataFrame(rows, "g string, price long, w long")
+    got = {r.g: r.median_price for r in weighted_median(df, ["g"], "price", "w").collect()}
+    for g in {r[0] for r in rows}:
+        expanded = [p for gg, p, w in rows if gg == g and p is not None for _ in range(w)]
+        if expanded:
+            assert got[g] == float(np.median(expanded)), g
