@@ -98,3 +98,19 @@ def test_weighted_median_equals_median_of_repeated_values(spark):
         expanded = [p for gg, p, w in rows if gg == g and p is not None for _ in range(w)]
         if expanded:
             assert got[g] == float(np.median(expanded)), g
+
+
+def test_latest_with_ties_equals_brute_force(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None] + list(range(20))),
+             rnd.choice([None] + [D(2021, m, 1) for m in range(1, 7)]), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, ym date, v int")
+    got = sorted(r.v for r in latest_with_ties(df, "k", "ym", ["v"]).collect())
+    latest = {}
+    for k, ym, _ in rows:
+        if k is not None and ym is not None:
+            latest[k] = max(latest.get(k, ym), ym)
+    expect = sorted(v for k, ym, v in rows if k is not None and ym is not None and ym == latest[k])
+    assert got == expect
