@@ -114,3 +114,20 @@ def test_latest_with_ties_equals_brute_force(spark):
             latest[k] = max(latest.get(k, ym), ym)
     expect = sorted(v for k, ym, v in rows if k is not None and ym is not None and ym == latest[k])
     assert got == expect
+
+
+def test_lag_of_existing_equals_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(g, D(2021, m, 1), rnd.choice([0, 0, 1, 2, 5])) for g in "ABCD" for m in range(1, 13)]
+    df = spark.createDataFrame(rows, "g string, ym date, n long")
+    out = lag_of_existing(df, ["g"], "ym", F.col("n"), F.col("n") > 0, "lag")
+    got = {(r.g, r.ym): r.lag for r in out.collect()}
+    for g in "ABCD":
+        prev = None
+        for _, ym, n in sorted((r for r in rows if r[0] == g), key=lambda r: r[1]):
+            expect = (prev - 1 if prev is not None else None) if n > 0 else None
+            assert got[(g, ym)] == expect, (g, ym)
+            if n > 0:
+                prev = n
