@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where no file matches."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
 def text_of(column: str = "text"):
     """The text, a null one as empty."""
     return F.coalesce(F.col(column), F.lit(""))

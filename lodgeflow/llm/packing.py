@@ -17,7 +17,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -39,7 +38,6 @@ PLAIN = re.compile("[\x21-\x7eÀ-įı-ɏ]+")
 BREAKS = str.maketrans("\n\r\t", "   ")
 
 
-@lru_cache(maxsize=1)
 def byte_letters() -> list[str]:
     """The printable stand-in of each byte in byte-level vocabularies."""
     kept = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -7,16 +7,36 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import fingerprints, license_scan, packing, quality_rules, secret_scan
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
+
+
+def op6_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op7_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op10_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_secret_ledger": op5_secret_ledger,
+    "op6_license_notices": op6_license_notices,
+    "op7_edit_embedding": op7_edit_embedding,
     "op9_pack_binary": op9_pack_binary,
+    "op10_quality_divergence": op10_quality_divergence,
 }
