@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, license_scan, packing, quality_rules, secret_scan, substring_dedup
+from . import fingerprints, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,10 @@ def op7_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_ledger": op5_secret_ledger,
     "op6_license_notices": op6_license_notices,
     "op7_edit_embedding": op7_edit_embedding,
+    "op8_suffix_intervals": op8_suffix_intervals,
     "op9_pack_binary": op9_pack_binary,
     "op10_quality_divergence": op10_quality_divergence,
 }
