@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup
+from . import fingerprints, license_scan, packing, quality_crf, quality_rules, secret_scan, substring_dedup, suffix_dedup
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_crf": op1_line_crf,
     "op2_substring_doubling": op2_substring_doubling,
     "op5_secret_ledger": op5_secret_ledger,
     "op6_license_notices": op6_license_notices,
