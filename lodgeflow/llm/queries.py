@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, license_scan, packing, quality_crf, quality_rules, secret_scan, substring_dedup, suffix_dedup
+from . import fingerprints, license_scan, packing, quality_crf, quality_rules, secret_scan, sentencepieces, substring_dedup, suffix_dedup
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op2_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode_documents(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
 def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_substring_doubling": op2_substring_doubling,
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_secret_ledger": op5_secret_ledger,
     "op6_license_notices": op6_license_notices,
     "op7_edit_embedding": op7_edit_embedding,
