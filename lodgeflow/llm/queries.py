@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, license_scan, packing, quality_crf, quality_rules, secret_scan, sentencepieces, substring_dedup, suffix_dedup
+from . import fingerprints, jaccard_join, license_scan, packing, quality_crf, quality_rules, secret_scan, sentencepieces, substring_dedup, suffix_dedup
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_documents(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
+def op4_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_substring_doubling": op2_substring_doubling,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_jaccard_tiles": op4_jaccard_tiles,
     "op5_secret_ledger": op5_secret_ledger,
     "op6_license_notices": op6_license_notices,
     "op7_edit_embedding": op7_edit_embedding,
