@@ -37,21 +37,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read back.
-
-    This cuts lineage with files that outlive any executor.  Shuffle files of the
-    write go as soon as it ends, so that one step's disk is free for the next.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def save(df: DataFrame, path: str) -> None:
+    """Writes ``df``; the write's shuffle files go as soon as it ends, so that one
+    step's disk is free for the next."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
     try:
         df.select("*").write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+        conf.set(_CLEANUP, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: lineage is cut with files that
+    outlive any executor."""
+    path = scratch_path(df.sparkSession, name)
+    save(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
@@ -85,3 +88,13 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
 
+
+
+def without(documents: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``documents`` that ``gone`` does not name by (doc_id, text_key), all columns
+    as they are.  Null doc_ids match each other; ``gone`` is hashed, texts are not sorted."""
+    rows = documents.select(F.struct("*").alias("row"))
+    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct().hint("shuffle_hash")
+    own = F.xxhash64(F.coalesce(F.col(f"row.{text}"), F.lit("")))
+    left = rows.join(gone, F.col("row.doc_id").cast("long").eqNullSafe(F.col("_doc")) & (own == F.col("_key")), "left_anti")
+    return left.select("row.*")

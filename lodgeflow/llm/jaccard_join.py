@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, slices, text_of, written
+from .common import arrow_schema, slices, text_of, without, written
 from .components import components
 from .hashing import Hasher, buffer_of, mix, word_hashes, word_places
 
@@ -93,11 +93,11 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n + 1 + (-percent * n) // 100
 
 
-SETS = "doc_id long, n long, s1 long, s2 long, posted array<long>"
+SETS = "doc_id long, text_key long, n long, s1 long, s2 long, posted array<long>"
 
 
 def set_rows(words: int, percent: int, frequent: np.ndarray):
-    """(doc_id, text) -> size, two hashes of the set, and the posted shingles, rarest first."""
+    """(doc_id, text, text_key) -> size, two hashes of the set, and the posted shingles, rarest first."""
     out = arrow_schema(SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,8 +121,8 @@ def set_rows(words: int, percent: int, frequent: np.ndarray):
             sizes = np.where(n > 0, prefix_size(n, percent), 0)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64)), type=out.types[4])],
+                batch.column(0), batch.column(2), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64)), type=out.types[5])],
                 schema=out)
 
     return run
@@ -324,10 +324,11 @@ def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent:
 
 
 def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+    """One row per document: doc_id, n_shingles, component_id, and text_key, a hash of the text."""
     if not PERCENT <= percent <= 100:
         raise ValueError("bands are made for thresholds of 80 per cent or more")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
+                            F.xxhash64(text_of()).alias("text_key"))
     frequent = frequent_shingles(docs, words, FREQUENT)
     sets = written(docs.mapInArrow(set_rows(words, percent, frequent), SETS), "sets")
     some = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -351,9 +352,16 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     groups = written(groups, "groups")
     far = written(second_round(posts, nodes, groups, percent), "far")
     found = components(near.unionByName(far))
-    first_of = (sets.select("doc_id", "n", "s1", "s2")
+    first_of = (sets.select("doc_id", "text_key", "n", "s1", "s2")
                 .join(firsts.select("s1", "s2", F.col("doc_id").alias("first")), ["s1", "s2"], "left"))
     return (first_of.join(found.withColumnRenamed("node", "first"), "first", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.coalesce("component", "first", "doc_id")).otherwise(F.col("doc_id"))
-                    .alias("component_id")))
+                    .alias("component_id"), "text_key"))
+
+
+def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents with the smallest doc_id of their component, all columns as they are.
+    Rows without doc_id stay; rows that share doc_id and text stay or go together."""
+    return without(documents, jaccard_components(documents, words, percent)
+                   .where(F.col("component_id") != F.col("doc_id")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CHARS, text_of, written
+from .common import SPACE, SPACE_CHARS, text_of, without, written
 
 #: The most common words of each language.
 COMMON_WORDS = {
@@ -85,7 +85,7 @@ def measures(documents: DataFrame) -> DataFrame:
     """Counts and histograms of each document, one narrow pass."""
     df = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        text_of().alias("text"))
+        F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     df = df.withColumn("words", words_of(F.col("text"))).withColumn("n_chars", F.length("text").cast("long"))
     df = with_repeats(df.withColumn("n_words", F.size("words").cast("long")))
     df = df.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
@@ -103,7 +103,7 @@ def measures(documents: DataFrame) -> DataFrame:
     counts = [((F.length("_hits") - F.length(F.replace(F.col("_hits"), F.lit(f" {w} "), F.lit(""))))
                / (len(w) + 2)).cast("long") for w in known]
     return df.select(
-        "doc_id", "lang", "n_words", "n_chars", (F.col("n_chars") - F.col("c_space")).alias("word_chars"),
+        "doc_id", "text_key", "lang", "n_words", "n_chars", (F.col("n_chars") - F.col("c_space")).alias("word_chars"),
         F.col("c_symbol").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
         F.array(*[F.col(f"c_{c}") for c in CLASSES], F.length("text").cast("long")).alias("classes"),
         F.array(*counts).alias("common"))
@@ -162,7 +162,8 @@ def nearest(distances: list[Column]) -> Column:
 
 
 def quality_rules(documents: DataFrame) -> DataFrame:
-    """One row per document: base counts, base_failed, both distances, kept."""
+    """One row per document: base counts, base_failed, kept, both distances, and text_key, a
+    hash of the text that tells rows with equal doc_id apart."""
     found = written(measures(documents), "quality-measures")
     refs = references(found)
     df = found.withColumn("_c", shares(F.transform("classes", lambda x: x.cast("double"))))
@@ -176,4 +177,9 @@ def quality_rules(documents: DataFrame) -> DataFrame:
         & (F.col("class_distance") + F.col("word_distance") > MAX_SUM_OF_DISTANCES))
     return df.withColumn("base_failed", base_failed()).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~strange).alias("kept"), "class_distance", "word_distance")
+        (~F.col("base_failed") & ~strange).alias("kept"), "class_distance", "word_distance", "text_key")
+
+
+def kept_documents(documents: DataFrame) -> DataFrame:
+    """The documents that the rules keep, all columns as they are."""
+    return without(documents, quality_rules(documents).where(~F.col("kept")))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, slices, text_of, written
@@ -22,9 +22,9 @@ from .hashing import Anchors, Hasher, buffer_of, word_hashes, word_places
 SLICE = 256 << 10
 
 
-def keyed(documents: DataFrame) -> DataFrame:
+def keyed(documents: DataFrame, *more: Column) -> DataFrame:
     """doc_id, text (null: empty) and the text's two hashes."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *more)
     return docs.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), "text")})
 
 

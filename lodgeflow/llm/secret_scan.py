@@ -10,7 +10,8 @@ overlap, and those that fail the rule's length are dropped after matching.
 
 Defined results: null and empty content is the empty blob, without findings; repeated
 rows each keep their findings; an empty table gives an empty result and leaves the ledger
-as it is; other columns of the input come back as they are, whatever their names.
+as it is; other columns of the input come back as they are, but those named blob or findings
+are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_path, table_or_none, text_of
+from .common import save, scratch_path, table_or_none, text_of
 
 
 class Rule(NamedTuple):
@@ -56,6 +57,7 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 
 SPAN = "array<struct<start:bigint,end:bigint,rank:int,kind:string>>"
+FINDINGS = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 LEDGER = f"blob string, rules array<string>, findings {SPAN}"
 
 
@@ -119,19 +121,16 @@ def scan_history(versions: DataFrame, content: str, ledger: str,
             for k, r in enumerate(rules)]
     scanned = blobs.select("blob", F.col("todo").alias("rules"), F.concat(*each).alias("findings"))
     run = f"{ledger}/run-{uuid.uuid4().hex}"
-    scanned.write.parquet(run)
+    save(scanned, run)
     wanted = [r.kind for r in rules]
     rows = (spark.read.schema(LEDGER).parquet(f"{ledger}/*").where(F.size("findings") > 0)
             .select("blob", F.explode("findings").alias("f"))
             .where(F.col("f.kind").isin(wanted)))
     by_blob = rows.groupBy("blob").agg(F.array_sort(F.collect_set(
         F.struct("f.start", "f.rank", "f.end", "f.kind"))).alias("_found"))
-    taken = set(versions.columns) & {"blob", "findings"}
-    if taken:
-        raise ValueError(f"rename these columns first: {sorted(taken)}")
-    return (versions.withColumn("blob", F.sha2(text, 256)).join(by_blob, "blob", "left")
-            .withColumn("findings", F.coalesce("_found", F.array().cast(
-                "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"))).drop("_found"))
+    rows = versions.select(F.struct("*").alias("_row"), F.sha2(text, 256).alias("blob")).join(by_blob, "blob", "left")
+    own = [F.col(f"_row.`{c}`").alias(c) for c in versions.columns if c.lower() not in ("blob", "findings")]
+    return rows.select(*own, "blob", F.coalesce("_found", F.array().cast(FINDINGS)).alias("findings"))
 
 
 def digest(findings: Column) -> Column:
@@ -152,3 +151,28 @@ def secret_digests(documents: DataFrame, ledger: str | None = None,
 
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                         F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("findings")).alias("spans"))
+
+
+def redacted(text: Column, findings: Column) -> Column:
+    """The text with each stretch of findings replaced by the first one's kind in brackets."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        ahead = x["start"] >= acc["at"]
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(ahead, F.concat(
+            acc["out"], gap, F.lit("["), x["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"))
+
+    done = F.aggregate(findings, start, step)
+    rest = F.substring(text, (done["at"] + 1).cast("int"), F.length(text))
+    return F.when(F.size(findings) == 0, text).otherwise(F.concat(done["out"], rest))
+
+
+def without_secrets(documents: DataFrame, ledger: str | None = None,
+                    rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The documents with their secrets redacted in ``text``, all other columns as they are."""
+    ledger = ledger or scratch_path(documents.sparkSession, "secret-ledger")
+    rest = [F.col(c) for c in documents.columns if c != "text"]
+    found = scan_history(documents.select(F.struct(*rest).alias("row"), "text"), "text", ledger, rules)
+    return found.select(*[redacted(F.col("text"), F.col("findings")).alias(c) if c == "text"
+                          else F.col(f"row.`{c}`").alias(c) for c in documents.columns])

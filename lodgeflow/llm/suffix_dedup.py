@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import arrow_schema, slices, written
 from .hashing import Anchors, Hasher, buffer_of, mix
@@ -245,17 +246,22 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return joined
 
 
+def kept_bytes(text: bytes, copy: bool | None, spans: list[dict] | None, length: int) -> tuple[bytes, int]:
+    """What is left of a text, and the number of stretches that were cut out."""
+    gone = [(0, len(text))] if copy and len(text) >= length else merged(spans)
+    kept, at = [], 0
+    for a, b in gone:
+        kept.append(text[at:a])
+        at = b
+    return b"".join([*kept, text[at:]]), len(gone)
+
+
 def cut(length: int, with_bytes: bool):
     out = arrow_schema(RESULT if with_bytes else RESULT.removesuffix(", kept binary"))
 
     def row(doc_id, text: bytes, copy: bool | None, spans: list[dict] | None) -> tuple:
-        gone = [(0, len(text))] if copy and len(text) >= length else merged(spans)
-        kept, at = [], 0
-        for a, b in gone:
-            kept.append(text[at:a])
-            at = b
-        kept = b"".join([*kept, text[at:]])
-        made = (doc_id, len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest())
+        kept, n_spans = kept_bytes(text, copy, spans, length)
+        made = (doc_id, len(text), len(text) - len(kept), n_spans, hashlib.sha256(kept).hexdigest())
         return (*made, kept) if with_bytes else made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,3 +309,30 @@ def suffix_dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, h
     info = removed_spans(docs, length, gram, hot)
     return (texts_with(docs, info, "left").select("doc_id", "text", "copy", "spans")
             .mapInArrow(cut(length, with_bytes), RESULT if with_bytes else RESULT.removesuffix(", kept binary")))
+
+
+def trimmed(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            row, text, copy, spans = batch.columns
+            kept = []
+            for t, c, s in zip(text.cast(pa.large_binary()).to_pylist(), copy.to_pylist(), spans.to_pylist()):
+                made = kept_bytes(t, c, s, length)[0]
+                kept.append(made.decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([row, pa.array(kept, pa.string())], names=["row", "kept"])
+
+    return run
+
+
+def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """The documents with their repeated bytes removed from ``text``, all other columns as they
+    are.  Bytes left of a character that a cut went through are dropped; null texts stay null."""
+    info = removed_spans(keyed(documents), length, gram, hot)
+    rest = [F.col(c) for c in documents.columns if c != "text"]
+    rows = keyed(documents, F.struct(F.col("text").isNull().alias("_null"), *rest).alias("row"))
+    joined = texts_with(rows, info, "left").select("row", "text", "copy", "spans")
+    schema = StructType([joined.schema["row"], StructField("kept", StringType())])
+    made = joined.mapInArrow(trimmed(length), schema)
+    return made.select(*[
+        F.when(~F.col("row._null"), F.col("kept")).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
+        for c in documents.columns])
