@@ -356,7 +356,8 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
                 .join(firsts.select("s1", "s2", F.col("doc_id").alias("first")), ["s1", "s2"], "left"))
     return (first_of.join(found.withColumnRenamed("node", "first"), "first", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.coalesce("component", "first", "doc_id")).otherwise(F.col("doc_id"))
+                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "first"))
+                    .otherwise(F.col("doc_id"))
                     .alias("component_id"), "text_key"))
 
 
