@@ -1,9 +1,9 @@
 """Join helpers (J-01..J-13).
 
-Broadcasts are only issued behind a size check with a fall-back to a
-shuffled join; everything else is left to Catalyst + AQE (which converts a
+The library's own joins carry no hint and are left to Catalyst + AQE (which converts a
 sort-merge join to a broadcast one at runtime when the measured side is
-under ``spark.sql.autoBroadcastJoinThreshold``).
+under ``spark.sql.autoBroadcastJoinThreshold``).  ``bounded_broadcast`` is for
+callers that know better; it checks the size first.
 """
 
 from __future__ import annotations
@@ -54,17 +54,14 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
-                take: dict[str, str], how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS, bounded: bool = False) -> DataFrame:
+                take: dict[str, str], how: str = "left") -> DataFrame:
     """Enrich ``df`` with columns of a lookup table matched by name (J-13).
 
     ``take`` maps lookup column -> output name.  Duplicate lookup keys fan
-    out, as in the SQL (Q-14).  ``bounded=True`` states that the caller has
-    already proven the lookup's size (e.g. it is a projection of a checked
-    table), which skips the check job."""
+    out, as in the SQL (Q-14).  AQE broadcasts the lookup when it measures it
+    small."""
     lk = lookup.select(F.col(right_on).alias("__lk"),
                        *[F.col(src).alias(dst) for src, dst in take.items()])
-    lk = F.broadcast(lk) if bounded else bounded_broadcast(lk, max_rows)
     return df.join(lk, df[left_on] == lk["__lk"], how).drop("__lk")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio6
 from ..operators.windows import modes_per_group
-from .marts import DEC0, avail, est_price_long, listing_weights
+from .marts import DEC0, avail, est_price, listing_weights
 from .warehouse import Star
 
 
@@ -21,11 +21,11 @@ def revenue_by_neighbourhood(star: Star) -> DataFrame:
     """SUM((30 - availability_30) * price) over available rows of fact
     NATURAL JOIN dim_listing, per listing_neighbourhood, plus the joined
     available row count (the fact meets the tie weights, no pair rows)."""
-    f = star.fact.where(avail()).select("listing_id", est_price_long().alias("est"))
+    f = star.fact.where(avail()).select("listing_id", est_price().alias("est"))
     w = listing_weights(star.dim_listing, ["listing_neighbourhood"])
     return (f.join(w, "listing_id", "inner")
               .groupBy("listing_neighbourhood")
-              .agg(F.sum(F.col("est") * F.col("w")).cast(DEC0).alias("total_rev"),
+              .agg(F.sum((F.col("est") * F.col("w")).cast(DEC0)).alias("total_rev"),
                    F.sum("w").alias("avail_count")))
 
 
@@ -120,12 +120,12 @@ def revenue_vs_mortgage(star: Star) -> DataFrame:
     f = star.fact
     w = listing_weights(star.dim_listing, [])
     joined = avail() & F.col("w").isNotNull()
-    per_host = (f.select("host_id", "listing_id", "has_availability", est_price_long().alias("__est"))
+    per_host = (f.select("host_id", "listing_id", "has_availability", est_price().alias("__est"))
                  .join(w, "listing_id", "left")
                  .groupBy("host_id").agg(
                      F.count("listing_id").alias("__n"),
                      F.count_if(joined).alias("__m"),
-                     F.sum(F.when(joined, F.col("__est") * F.col("w"))).cast(DEC0).alias("total_rev"))
+                     F.sum(F.when(joined, (F.col("__est") * F.col("w")).cast(DEC0))).alias("total_rev"))
                  .where((F.col("__n") > 1) & (F.col("__m") > 0)))
     mortgage = (star.dim_lga_code
                 .select(F.col("lga_code").cast("bigint").alias("__code"),

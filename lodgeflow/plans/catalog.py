@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import as_double, pct_change, ratio6, rounding_int
 from ..functions.text import file_name, month_from_file_name, strip_code_prefix
-from ..operators.joins import join_null_safe
+from ..operators.joins import join_null_safe, natural_join
 from ..sources import analogue
 from ..sources.tables import read_table
 from . import analysis as A
@@ -55,16 +55,8 @@ def q_dim_lga_suburb(spark, sf):
 
 
 def q_enrich_left_listing(spark, sf):
-    """merge1 (B-07).  When the host lookup's name key is unique -- checked
-    by a bounded job on the small lookup -- listing_final has exactly
-    merge1's rows plus host_lga, so merge1 is a projection of the written
-    table; otherwise it is recomputed from the staging plan."""
-    code = analogue.staging_lga_code(spark, sf)
-    dup = code.groupBy("lga_name").count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        return analogue_layers(spark, sf)["merge1"]
-    final = analogue_star(spark, sf).listing_final
-    return final.select(*[c for c in final.columns if c != "host_lga"])
+    """merge1 (B-07)."""
+    return analogue_layers(spark, sf)["merge1"]
 
 
 def q_enrich_left_host(spark, sf):
@@ -77,7 +69,7 @@ def q_natural_join_one_key(spark, sf):
     """Rows and listings of fact NATURAL JOIN dim_listing per neighbourhood."""
     star = analogue_star(spark, sf)
     w = M.listing_weights(star.dim_listing, ["listing_neighbourhood"])
-    return (star.fact.select("listing_id").join(w, "listing_id", "inner")
+    return (natural_join(star.fact.select("listing_id"), w)
             .groupBy("listing_neighbourhood")
             .agg(F.sum("w").alias("joined_rows"), F.count_distinct("listing_id").alias("listings")))
 

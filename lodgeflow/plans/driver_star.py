@@ -1,109 +1,32 @@
-"""The star schema built from the driver's parquet tables (see
+"""The star schema over the driver's parquet tables, as lazy plans (see
 ``sources/analogue.py`` for the mapping).
 
-Like the reference pipeline, the warehouse layer is *materialised*: the
-enriched listing table, the fact and the latest-snapshot dimensions are
-written once as parquet under the session's checkpoint folder and every
-mart / analysis query reads those files.  Downstream plans then start at a
-parquet scan (pushdown, pruning, lineage cut: a lost executor re-reads files
-instead of re-running the join chain).  The written star is keyed by the
-session, the input folder and the inputs' size/mtime fingerprint, so a
-changed input is never served from an old build.
+Nothing is run or written when a star is made: each query plans the tables it
+needs from the raw scans, so a changed input is always seen, whatever store
+it is in.  Written layers are ``plans/pipeline.run_pipeline``'s work.
 """
 
 from __future__ import annotations
 
-import os
-import threading
-from concurrent.futures import ThreadPoolExecutor
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import SparkSession
-
-from ..session import materialize
 from ..sources import analogue
-from ..sources.tables import DRIVER_TABLES
 from .warehouse import Star, build_star, lga_joined, listing_final, merge1
 
-_BUILT: dict[tuple, Star] = {}
-_LOCK = threading.Lock()
-
 
-def analogue_layers(spark: SparkSession, sf_dir: str) -> dict:
-    """Lazy staging/enrichment plans (nothing is executed)."""
-    small = analogue.nation_is_bounded(spark, sf_dir)  # lga_code is a projection of nation
-    listing = analogue.staging_listing(spark, sf_dir, small)
+def analogue_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Staging and enrichment tables by name."""
+    listing = analogue.staging_listing(spark, sf_dir)
     code = analogue.staging_lga_code(spark, sf_dir)
-    suburb = analogue.staging_lga_suburb(spark, sf_dir, small)
-    g01 = analogue.staging_census_g01(spark, sf_dir)
-    g02 = analogue.staging_census_g02(spark, sf_dir)
-    joined = lga_joined(suburb, code, g01, g02, code_bounded=small)
-    m1 = merge1(listing, code, code_bounded=small)
+    suburb = analogue.staging_lga_suburb(spark, sf_dir)
+    joined = lga_joined(suburb, code, analogue.staging_census_g01(spark, sf_dir),
+                        analogue.staging_census_g02(spark, sf_dir))
+    m1 = merge1(listing, code)
     # The analogue resolves a host's area by LGA name (see README).
-    final = listing_final(m1, code, lookup_key="lga_name", lookup_bounded=small)
-    return {"staging_listing": listing, "lga_code": code, "lga_suburb": suburb,
-            "census_g01": g01, "census_g02": g02, "lga_joined": joined,
-            "merge1": m1, "listing_final": final}
+    final = listing_final(m1, code, lookup_key="lga_name")
+    return {"lga_suburb": suburb, "lga_joined": joined, "merge1": m1, "listing_final": final}
 
 
-def lazy_star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star as one lazy plan over the raw tables (no writes)."""
+def analogue_star(spark: SparkSession, sf_dir: str) -> Star:
     layers = analogue_layers(spark, sf_dir)
     return build_star(layers["listing_final"], layers["lga_joined"], layers["lga_suburb"])
-
-
-def _fingerprint(sf_dir: str) -> tuple:
-    out = []
-    for t in DRIVER_TABLES:
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        try:
-            st = os.stat(p)
-            out.append((t, st.st_size, st.st_mtime_ns))
-        except OSError:
-            out.append((t, None, None))
-    return tuple(out)
-
-
-def _write_all(named: dict[str, "DataFrame"]) -> dict:
-    """Write independent tables as concurrent Spark jobs (each its own
-    driver thread); Spark schedules their tasks over the same executors."""
-    with ThreadPoolExecutor(max_workers=len(named)) as pool:
-        futures = {k: pool.submit(materialize, df, k) for k, df in named.items()}
-        return {k: f.result() for k, f in futures.items()}
-
-
-def build_materialized_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Write listing_final, the LGA table and the latest-snapshot dims;
-    return scans of them."""
-    layers = analogue_layers(spark, sf_dir)
-    first = _write_all({"listing_final": layers["listing_final"],
-                        "dim_lga_code": layers["lga_joined"]})
-    final, joined = first["listing_final"], first["dim_lga_code"]
-    # the suburb list (supplier x nation projection) is only projected by
-    # dim_lga_suburb: cheaper to recompute than to write
-    star = build_star(final, joined, layers["lga_suburb"])
-    dims = _write_all({"dim_host": star.dim_host, "dim_listing": star.dim_listing})
-    # fact_listing and dim_lga_suburb are projections: parquet column pruning
-    # makes them as cheap to scan as copies.
-    return Star(fact=star.fact, dim_host=dims["dim_host"], dim_listing=dims["dim_listing"],
-                dim_lga_code=joined, dim_lga_suburb=star.dim_lga_suburb, listing_final=final)
-
-
-def _usable(star: Star, spark: SparkSession) -> bool:
-    """A cached build is reused only by its own live session (ids of stopped
-    sessions can be recycled)."""
-    if star.fact.sparkSession is not spark:
-        return False
-    try:
-        return spark.sparkContext._jsc is not None
-    except Exception:  # noqa: BLE001 - Connect sessions: the identity check suffices
-        return True
-
-
-def analogue_star(spark: SparkSession, sf_dir: str) -> Star:
-    key = (id(spark), os.path.abspath(sf_dir), _fingerprint(sf_dir))
-    with _LOCK:
-        star = _BUILT.get(key)
-        if star is None or not _usable(star, spark):
-            star = build_materialized_star(spark, sf_dir)
-            _BUILT[key] = star
-        return star

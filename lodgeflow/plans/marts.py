@@ -51,11 +51,9 @@ def avail() -> F.Column:
     return F.col("has_availability")
 
 
-def est_price_long() -> F.Column:
-    """Row-level estimate as BIGINT for per-listing pre-aggregation: long sums
-    stay on Spark's fast path (an overflow fails the job under ANSI, it is
-    never silent); totals across listings are widened to DECIMAL(38,0)."""
-    return (F.lit(30) - F.col("availability_30")) * F.col("price")
+def est_price() -> F.Column:
+    """Row-level estimate as DECIMAL(38,0): wide before it is multiplied or summed."""
+    return (F.lit(30) - F.col("availability_30")).cast(DEC0) * F.col("price")
 
 
 def listing_weights(dim_listing: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
@@ -75,8 +73,8 @@ def listing_counts(star: Star, keys: list[str]) -> DataFrame:
     except MIN/MAX/median, so a first hash aggregate (combined map-side)
     reduces the joined rows to (keys, month, price) partial sums; the second
     aggregate rolls those up and runs ``percentile`` over distinct prices
-    only.  Row-level sums are BIGINT (an overflow fails the job under ANSI,
-    it is never silent) and are widened to DECIMAL(38,0) at the end."""
+    only.  Sums of counts, nights and ratings within one price are BIGINT; whatever
+    is multiplied by a price is DECIMAL(38,0) before it is summed."""
     f = star.fact.select("listing_id", "year_month", "has_availability", "price", "availability_30")
     w = listing_weights(star.dim_listing, keys, ["review_scores_rating"])
     j = f.join(w, "listing_id", "inner")
@@ -89,7 +87,6 @@ def listing_counts(star: Star, keys: list[str]) -> DataFrame:
         F.sum(F.when(av, wt).otherwise(zero)).alias("n_av"),
         F.sum(F.when(~av, wt).otherwise(zero)).alias("n_un"),
         F.sum(F.when(av, stay * wt)).alias("stays"),
-        F.sum(F.when(av, stay * price * wt)).alias("rev"),
         F.sum(F.when(av, rating * wt)).alias("r_sum"),
         F.sum(F.when(av & rating.isNotNull(), wt)).alias("r_cnt"))
     p_av = F.when(F.col("n_av") > 0, F.col("price"))
@@ -100,10 +97,10 @@ def listing_counts(star: Star, keys: list[str]) -> DataFrame:
         F.min(p_av).alias("min_price"),
         F.max(p_av).alias("max_price"),
         F.percentile(p_av, F.lit(0.5), F.greatest(F.col("n_av"), F.lit(1))).alias("median_price"),
-        F.sum(p_av * F.col("n_av")).alias("price_sum"),
+        F.sum(p_av.cast(DEC0) * F.col("n_av")).alias("price_sum"),
         F.sum(F.when(p_av.isNotNull(), F.col("n_av"))).alias("price_cnt"),
         F.sum("stays").alias("total_num_stay"),
-        F.sum("rev").alias("total_rev"),
+        F.sum(F.col("price").cast(DEC0) * F.col("stays")).alias("total_rev"),
         F.sum("r_sum").alias("rating_sum"),
         F.sum("r_cnt").alias("rating_cnt"))
     return agg.withColumns({c: F.col(c).cast(DEC0) for c in
@@ -218,8 +215,7 @@ def host_mart_parts(star: Star) -> tuple[DataFrame, DataFrame]:
     fk = fact_with_host_lga_name(star).where(F.col("listing_id").isNotNull()
                                              & F.col("year_month").isNotNull())
     grp = (fk.groupBy("listing_id", "lga_name", "year_month")
-             .agg(F.sum("k").alias("n"), F.sum(F.col("k") * est_price_long()).alias("s"))
-        .withColumn("s", F.col("s").cast(DEC0)))
+             .agg(F.sum("k").alias("n"), F.sum((F.col("k") * est_price()).cast(DEC0)).alias("s")))
     rev = (grp.groupBy("lga_name", "year_month")
               .agg(F.sum((F.col("n") * F.col("s")).cast(DEC0)).alias("total_rev"),
                    F.sum(F.col("n") * F.col("n")).alias("pair_rows")))

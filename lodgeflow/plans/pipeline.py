@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from . import marts as M
-from .staging import staging_tables
+from .staging import staging_rejects, staging_tables
 from .warehouse import (Star, dim_host, dim_listing, dim_lga_suburb, fact_listing, lga_joined,
                         listing_final, merge1)
 
@@ -33,7 +33,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     ``cluster_by`` become selective.  AQE sizes the ranges."""
     if partition_by:
         df = df.repartitionByRange(*partition_by, *(cluster_by or []))
-    w = df.write.mode("overwrite")
+    # static: partitions that the new table lacks go, whatever the session's overwrite mode
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -55,6 +56,8 @@ def register_catalog(spark: SparkSession, tables: dict[str, str]) -> None:
     for qualified, path in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {qualified}")
         spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{path}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(qualified)):
+            spark.catalog.recoverPartitions(qualified)
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
@@ -63,8 +66,9 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False,
-                 catalog: bool = False, staged_listing: str | None = None) -> dict[str, DataFrame]:
+def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = True,
+                 catalog: bool = False, staged_listing: str | None = None,
+                 lenient: bool = False) -> dict[str, DataFrame]:
     """Build every table under ``dst/<layer>/<table>`` and return scans of them.
 
     ``src`` is the raw folder (all five datasets, told apart by file-name
@@ -72,7 +76,12 @@ def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False,
     ``catalog=True`` the tables are also registered as ``<layer>.<table>``.
     ``staged_listing`` names a listing staging table kept current by the
     streaming refresh; the rebuild then reads it instead of re-parsing every
-    monthly CSV file."""
+    monthly CSV file.
+
+    Text that a column's type cannot read fails the run, naming column and file.
+    ``lenient=True`` makes it NULL instead, and writes ``staging.staging_rejects``
+    with the number of such values by table, column and file.  ``multiline=False``
+    lets large files be split, if no quoted field holds a newline."""
     out: dict[str, DataFrame] = {}
     paths: dict[str, str] = {}
 
@@ -82,7 +91,9 @@ def run_pipeline(spark: SparkSession, src, dst: str, multiline: bool = False,
         paths[f"{layer}.{name}"] = path
         return out[name]
 
-    st = staging_tables(spark, _sources(src), multiline)
+    st = staging_tables(spark, _sources(src), multiline, lenient)
+    if lenient:
+        put("staging", "staging_rejects", staging_rejects(spark, _sources(src), multiline))
     for name in ("staging_census_g01", "staging_census_g02",
                  "staging_lga_code", "staging_lga_suburb"):
         put("staging", name, st[name])

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast, lookup_join
+from ..operators.joins import lookup_join
 from ..operators.latest import latest_with_ties
 
 FACT_COLUMNS = ["listing_id", "host_id", "listing_lga", "host_lga", "price",
@@ -22,7 +22,7 @@ REVIEW_COLUMNS = ["review_scores_rating", "review_scores_accuracy", "review_scor
 
 
 def lga_joined(suburb: DataFrame, code: DataFrame, g01: DataFrame, g02: DataFrame,
-               g02_columns: list[str] | None = None, code_bounded: bool = False) -> DataFrame:
+               g02_columns: list[str] | None = None) -> DataFrame:
     """B-06: suburb LEFT JOIN code, INNER JOIN g01, INNER JOIN g02.
 
     The inner joins on the nullable side reject the outer rows (Q-09), so
@@ -32,7 +32,6 @@ def lga_joined(suburb: DataFrame, code: DataFrame, g01: DataFrame, g02: DataFram
     g02_columns = g02_columns or [c for c in g02.columns if c != "lga_code"]
     c = code.select(F.col("lga_name").alias("__c_name"),
                     F.col("lga_code").cast("bigint").alias("__c_code"))
-    c = F.broadcast(c) if code_bounded else bounded_broadcast(c)
     g1 = g01.withColumn("__g1_code", F.col("lga_code").cast("bigint"))
     g2 = g02.select(F.col("lga_code").cast("bigint").alias("__g2_code"), *g02_columns)
     out = (suburb.join(c, suburb["lga_name"] == c["__c_name"], "left")
@@ -42,19 +41,17 @@ def lga_joined(suburb: DataFrame, code: DataFrame, g01: DataFrame, g02: DataFram
                       *[F.col(x) for x in g02_columns])
 
 
-def merge1(listing: DataFrame, code: DataFrame, code_bounded: bool = False) -> DataFrame:
+def merge1(listing: DataFrame, code: DataFrame) -> DataFrame:
     """B-07: listing LEFT JOIN lga_code ON listing_neighbourhood = lga_name."""
     return lookup_join(listing, code, "listing_neighbourhood", "lga_name",
-                       {"lga_code": "listing_lga"}, bounded=code_bounded)
+                       {"lga_code": "listing_lga"})
 
 
-def listing_final(m1: DataFrame, host_lookup: DataFrame, lookup_key: str = "suburb_name",
-                  lookup_bounded: bool = False) -> DataFrame:
+def listing_final(m1: DataFrame, host_lookup: DataFrame, lookup_key: str = "suburb_name") -> DataFrame:
     """B-08: merge1 LEFT JOIN lookup ON host_neighbourhood = ``lookup_key``;
     host_lga keeps the lookup's text type.  Duplicate names fan out (Q-14)."""
     lk = host_lookup.select(F.col(lookup_key), F.col("lga_code").cast("string").alias("lga_code"))
-    return lookup_join(m1, lk, "host_neighbourhood", lookup_key, {"lga_code": "host_lga"},
-                       bounded=lookup_bounded)
+    return lookup_join(m1, lk, "host_neighbourhood", lookup_key, {"lga_code": "host_lga"})
 
 
 def fact_listing(final: DataFrame) -> DataFrame:

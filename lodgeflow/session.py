@@ -21,6 +21,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -42,35 +43,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def _context(spark: SparkSession):
-    """The SparkContext of a classic session; None for a Spark Connect client."""
-    try:
-        return spark.sparkContext
-    except Exception:  # noqa: BLE001 - Connect sessions expose no context
-        return None
+_OWN_ROOT: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and written intermediate tables."""
-    sc = _context(spark)
-    root = None
-    if sc is not None:
-        root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key raises on some versions
-            root = None
-    if not root:
-        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
-                               "intermediate tables must survive the loss of any one machine")
-        # Local/test fallback only: a cluster names a shared folder itself.
-        root = tempfile.mkdtemp(prefix="lodgeflow-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(root)
-    return root
+    """The shared folder for lineage cuts and written intermediate tables: the one
+    that the session names.  Only where it names none, in local runs and
+    tests, one scratch folder is made for the process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
+                           "intermediate tables must survive the loss of any one machine")
+    if not _OWN_ROOT:
+        _OWN_ROOT.append(tempfile.mkdtemp(prefix="lodgeflow-ckpt-"))
+    return _OWN_ROOT[0]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -12,8 +12,8 @@ per line item:
 * suburb -> LGA        = supplier -> nation (k suppliers per nation)
 * census               = per-nation aggregates over customers
 
-All joins are equi-joins on keys; only ``nation`` (25 rows by construction)
-is broadcast by hint, every other join is left to Catalyst/AQE.
+All joins are equi-joins on keys, left to Catalyst and AQE: a side is broadcast
+when it is measured small.
 """
 
 from __future__ import annotations
@@ -22,25 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_code_prefix
-from ..operators.joins import bounded_broadcast
 from .tables import read_table
 
 
-# Nation-derived lookups are broadcast when nation is proven this small.
-NATION_MAX_ROWS = 10_000
-
-
-def nation_is_bounded(spark: SparkSession, sf_dir: str) -> bool:
-    """One bounded job proves the size of nation and of every projection of it."""
-    n = read_table(spark, sf_dir, "nation")
-    return n.limit(NATION_MAX_ROWS + 1).count() <= NATION_MAX_ROWS
-
-
-def _nation(spark, sf_dir, bounded: bool | None = None) -> DataFrame:
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    if bounded is None:
-        return bounded_broadcast(n, NATION_MAX_ROWS)
-    return F.broadcast(n) if bounded else n
+def _nation(spark, sf_dir) -> DataFrame:
+    return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
 def raw_lga_code(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,10 +36,10 @@ def raw_lga_code(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("lga_name")))
 
 
-def raw_lga_suburb(spark: SparkSession, sf_dir: str, bounded: bool | None = None) -> DataFrame:
+def raw_lga_suburb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LGA/suburb file analogue: each supplier is a suburb of its nation."""
     s = read_table(spark, sf_dir, "supplier").select("s_name", "s_nationkey")
-    return (s.join(_nation(spark, sf_dir, bounded), s.s_nationkey == F.col("n_nationkey"), "inner")
+    return (s.join(_nation(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"), "inner")
              .select(F.col("n_name").alias("lga_name"), F.col("s_name").alias("suburb_name")))
 
 
@@ -100,11 +86,11 @@ def staging_lga_code(spark, sf_dir) -> DataFrame:
     return raw_lga_code(spark, sf_dir).withColumn("lga_name", F.upper("lga_name"))
 
 
-def staging_lga_suburb(spark, sf_dir, bounded: bool | None = None) -> DataFrame:
-    return raw_lga_suburb(spark, sf_dir, bounded).withColumn("lga_name", F.upper("lga_name"))
+def staging_lga_suburb(spark, sf_dir) -> DataFrame:
+    return raw_lga_suburb(spark, sf_dir).withColumn("lga_name", F.upper("lga_name"))
 
 
-def staging_listing(spark: SparkSession, sf_dir: str, bounded: bool | None = None) -> DataFrame:
+def staging_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One typed listing-snapshot row per line item (B-01 analogue).
 
     Join order is chosen for shuffle volume: line items meet the part and
@@ -118,7 +104,7 @@ def staging_listing(spark: SparkSession, sf_dir: str, bounded: bool | None = Non
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = _nation(spark, sf_dir, bounded)
+    n = _nation(spark, sf_dir)
     cn = n.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
     sn = n.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
 

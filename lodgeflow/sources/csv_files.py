@@ -51,11 +51,11 @@ def text_schema(names: list[str]) -> StructType:
 
 
 def csv_reader(spark: SparkSession, names: list[str], glob: str | None = None,
-               multiline: bool = False, streaming: bool = False):
+               multiline: bool = True, streaming: bool = False):
     """A configured (batch or streaming) CSV reader for positional text columns.
 
-    ``multiline`` allows newlines inside quoted fields but makes each file a
-    single split, so it is off by default."""
+    ``multiline`` reads newlines inside quoted fields, as the raw format allows
+    them; each file is then one split.  Turn it off for files without such fields."""
     r = spark.readStream if streaming else spark.read
     r = (r.schema(text_schema(names))
           .option("header", True)
@@ -76,28 +76,28 @@ def clean_tokens(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, names: list[str], glob: str | None,
-             multiline: bool = False) -> DataFrame:
+             multiline: bool = True) -> DataFrame:
     """S-01/S-09/S-10: batch scan; listing the folder again on every call is
     the refresh of S-11."""
     df = csv_reader(spark, names, glob, multiline).load(path, format="csv")
     return clean_tokens(df, names)
 
 
-def raw_listing(spark, path, multiline=False):
+def raw_listing(spark, path, multiline=True):
     return read_raw(spark, path, LISTING_COLUMNS, LISTING_GLOB, multiline)
 
 
-def raw_census_g01(spark, path):
-    return read_raw(spark, path, G01_COLUMNS, G01_GLOB)
+def raw_census_g01(spark, path, multiline=True):
+    return read_raw(spark, path, G01_COLUMNS, G01_GLOB, multiline)
 
 
-def raw_census_g02(spark, path):
-    return read_raw(spark, path, G02_COLUMNS, G02_GLOB)
+def raw_census_g02(spark, path, multiline=True):
+    return read_raw(spark, path, G02_COLUMNS, G02_GLOB, multiline)
 
 
-def raw_lga_code(spark, path):
-    return read_raw(spark, path, LGA_CODE_COLUMNS, LGA_CODE_GLOB)
+def raw_lga_code(spark, path, multiline=True):
+    return read_raw(spark, path, LGA_CODE_COLUMNS, LGA_CODE_GLOB, multiline)
 
 
-def raw_lga_suburb(spark, path):
-    return read_raw(spark, path, LGA_SUBURB_COLUMNS, LGA_SUBURB_GLOB)
+def raw_lga_suburb(spark, path, multiline=True):
+    return read_raw(spark, path, LGA_SUBURB_COLUMNS, LGA_SUBURB_GLOB, multiline)

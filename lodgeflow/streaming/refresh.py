@@ -3,33 +3,84 @@
 The reference re-lists its external table before each rebuild.  With
 Structured Streaming the file source remembers, in its checkpoint, which
 monthly files were already staged; a run with ``availableNow`` stages only
-the files that arrived since, then stops.  The transformation is the same
-stateless typing as the batch staging (per-row casts and the file-name
-month), so the stream needs no state store, and the checkpoint makes a
-restarted or retried run exactly-once per file.
+the files that arrived since, then stops.
+
+The checkpoint lies beside the table (``<dst>_checkpoint``), so every
+application finds it again.  It also keeps the list of staged files with
+their length and modification time: when a known file has changed or gone, the
+table is staged anew from all files, as a batch rebuild would.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-from ..sources import csv_files as C
 from ..plans.staging import staging_listing_from_raw
+from ..sources import csv_files as C
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def _batches(spark: SparkSession, checkpoint: str) -> int:
+    """Committed micro-batches, by the checkpoint's own log."""
+    fs, p = _hadoop(spark, f"{checkpoint}/commits")
+    if not fs.exists(p):
+        return 0
+    return sum(1 for s in fs.listStatus(p) if s.getPath().getName().isdigit())
+
+
+#: One row per monthly file: the list that any file source holds on the driver.
+FILES = "path string, length long, modificationTime timestamp"
+
+
+def _files(spark: SparkSession, src: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", C.LISTING_GLOB)
+            .option("recursiveFileLookup", True).load(src)
+            .select("path", "length", "modificationTime"))
 
 
 def refresh_listing_staging(spark: SparkSession, src: str, dst: str,
                             checkpoint: str | None = None,
-                            max_files_per_trigger: int | None = None) -> int:
-    """Append newly arrived listing files under ``src`` to the parquet table
-    at ``dst``; returns the number of micro-batches run.
+                            max_files_per_trigger: int | None = None,
+                            full: bool = False, multiline: bool = True) -> int:
+    """Bring the parquet table at ``dst`` up to date with the listing files
+    under ``src``; returns the number of micro-batches that staged files.
 
     ``max_files_per_trigger`` bounds each micro-batch (a large backfill is
-    then staged in several bounded batches; ``availableNow`` honours it)."""
-    checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "streams", "staging_listing")
-    reader = C.csv_reader(spark, C.LISTING_COLUMNS, C.LISTING_GLOB, streaming=True)
+    then staged in several bounded batches; ``availableNow`` honours it).
+    ``full`` stages all files anew.  A table without its checkpoint, or one
+    that was staged from another folder, is refused unless ``full`` is given."""
+    checkpoint = checkpoint or dst.rstrip("/") + "_checkpoint"
+    manifest = f"{checkpoint}/staged_files"
+    known = spark.read.parquet(manifest) if _exists(spark, manifest) else None
+    if not full and known is None and _exists(spark, dst):
+        raise ValueError(f"{dst} exists but {checkpoint} does not describe it; use a full refresh")
+    # Listed before the stream starts: what arrives meanwhile counts as new or changed next time.
+    now = spark.createDataFrame(_files(spark, src).collect(), FILES)
+    if known is not None and not full:
+        if known.where(known.src != src).limit(1).count():
+            raise ValueError(f"{dst} was staged from another folder than {src}; use a full refresh")
+        # A known file that changed or went: the whole table is staged anew.
+        full = known.drop("src").exceptAll(now).limit(1).count() > 0
+    if full:
+        _remove(spark, dst)
+        _remove(spark, checkpoint)
+    before = _batches(spark, checkpoint)
+    reader = C.csv_reader(spark, C.LISTING_COLUMNS, C.LISTING_GLOB, multiline=multiline, streaming=True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(src, format="csv")
@@ -41,4 +92,5 @@ def refresh_listing_staging(spark: SparkSession, src: str, dst: str,
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    now.withColumn("src", F.lit(src)).coalesce(1).write.mode("overwrite").parquet(manifest)
+    return _batches(spark, checkpoint) - before
