@@ -84,16 +84,47 @@ def cut(length: int, with_text: bool):
     return run
 
 
-def substring_dedup(documents: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept words."""
+def candidate_windows(docs: DataFrame, length: int) -> DataFrame:
+    """doc_id, k1, anchor, whole, start of the full windows whose half-length stretch
+    survived level one, of each different text."""
     if length < 2:
         raise ValueError("a window has two words or more")
-    docs = keyed(documents)
-    half = length // 2
-    candidates = repeated_anchors(docs, length, half, words=True, within=False, hot=0).drop("hots")
-    texts = texts_with(docs, candidates).select("doc_id", "k1", "text", "hs")
-    windows = written(texts.mapInArrow(
+    halves = repeated_anchors(docs, length, length // 2, words=True, within=False, hot=0).drop("hots")
+    texts = texts_with(docs, halves).select("doc_id", "k1", "text", "hs")
+    return written(texts.mapInArrow(
         extended(length), "doc_id long, k1 long, anchor long, whole long, start int"), "windows")
+
+
+def longest_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, longest: the longest of length, 2 length, 4 length ... words that some window of
+    the document shares with another, different text.  Each level joins the windows that
+    survived the last one with those that follow them, until none survives."""
+    windows = candidate_windows(keyed(documents), length).select(
+        "doc_id", "k1", "start", "whole", F.col("anchor").alias("other"))
+    found, reached = None, length
+    while True:
+        lists = (windows.groupBy("whole", "other").agg(F.min("k1").alias("low"), F.max("k1").alias("high"))
+                 .where(F.col("low") != F.col("high")).select("whole", "other"))
+        windows = written(windows.join(lists, ["whole", "other"], "left_semi"), f"level-{reached}")
+        if windows.isEmpty():
+            break
+        level = windows.select("doc_id", "k1").distinct().withColumn("longest", F.lit(reached))
+        found = level if found is None else found.unionByName(level)
+        after = windows.select("doc_id", "k1", (F.col("start") - reached).alias("start"),
+                               F.col("whole").alias("w2"), F.col("other").alias("o2"))
+        windows = (windows.join(after, ["doc_id", "k1", "start"])
+                   .select("doc_id", "k1", "start", F.xxhash64("whole", "w2").alias("whole"),
+                           F.xxhash64("other", "o2", "whole").alias("other")))
+        reached *= 2
+    if found is None:
+        return windows.select("doc_id", F.lit(0).alias("longest")).limit(0)
+    return found.groupBy("doc_id").agg(F.max("longest").alias("longest"))
+
+
+def substring_dedup(documents: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept words."""
+    docs = keyed(documents)
+    windows = candidate_windows(docs, length)
     owners = (windows.groupBy("anchor", "whole").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
               .where(F.col("owner") < F.col("last")).select("anchor", "whole", "owner"))
     # The starts of one document go to one row: as many as it has words at most.

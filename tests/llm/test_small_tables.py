@@ -50,6 +50,25 @@ def test_substring_dedup(docs):
     assert multiset(got) == multiset(want)
 
 
+def test_longest_repeats(docs):
+    """Levels of 45, 90, 180 ... words, until none is shared by two different texts."""
+    words = {}
+    for doc_id, text in cases.texts():
+        if doc_id is not None:
+            words.setdefault(text or "", (doc_id, cases.words(text)))
+    want = {}
+    for text, (doc_id, w) in words.items():
+        level = 45
+        while True:
+            others = {tuple(v[k:k + level]) for t, (_, v) in words.items() if t != text for k in range(len(v) - level + 1)}
+            if not any(tuple(w[k:k + level]) in others for k in range(len(w) - level + 1)):
+                break
+            want[doc_id] = level
+            level *= 2
+    got = {r.doc_id: r.longest for r in substring_dedup.longest_repeats(docs, 45).collect()}
+    assert got == want and len(set(want.values())) > 1
+
+
 @pytest.mark.parametrize("length,gram,hot", [(100, 40, 2000), (100, 40, 1), (30, 12, 2000)])
 def test_suffix_dedup(docs, length, gram, hot):
     first, want = {}, []
