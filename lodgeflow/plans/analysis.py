@@ -8,7 +8,7 @@ fact x ties pairs.  ORDER BY .. LIMIT keeps the warehouse's NULL order
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio6
@@ -45,19 +45,20 @@ def worst_neighbourhood(star: Star) -> DataFrame:
             .limit(1).select("listing_neighbourhood", "total_rev"))
 
 
-def lga_population(star: Star, lga_name: DataFrame) -> DataFrame:
+def lga_population(star: Star, lga_name: Column | DataFrame) -> DataFrame:
     """N-03 / N-04: lga_name and Age_20_24_yr_P of the LGA rows whose code is
     ``(SELECT DISTINCT lga_code FROM dim_lga_code WHERE lga_name = X)`` and
     that some fact row lists in; LIMIT 1.
 
-    ``lga_name`` is a one-row frame holding X, used once.  The fact is only
-    probed for which of those (few) codes it lists in -- a semi-join against
-    a tiny set with a map-side distinct -- never joined row by row."""
+    ``lga_name`` is X: a literal, or a one-row frame as scalar subquery.  The code is a scalar subquery,
+    so a name with two codes is an error.  The fact is only filtered by that code and
+    reduced to it map-side, never joined row by row."""
+    if isinstance(lga_name, DataFrame):
+        lga_name = lga_name.scalar()
     d = star.dim_lga_code.withColumn("__code", F.col("lga_code").cast("bigint"))
-    name = lga_name.select(F.col(lga_name.columns[0]).alias("__name"))
-    codes = d.join(name, d["lga_name"] == name["__name"], "left_semi").select("__code").distinct()
+    code = d.where(F.col("lga_name") == lga_name).select("__code").distinct().scalar()
     present = (star.fact.select(F.col("listing_lga").cast("bigint").alias("__code"))
-               .join(codes, "__code", "left_semi").distinct())
+               .where(F.col("__code") == code).distinct())
     return d.join(present, "__code", "left_semi").select("lga_name", "Age_20_24_yr_P").limit(1)
 
 

@@ -20,6 +20,7 @@ from ..sources.tables import read_table
 from . import analysis as A
 from . import marts as M
 from .driver_star import analogue_layers, analogue_star
+from .warehouse import lga_joined, listing_final
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +64,14 @@ def q_enrich_left_host(spark, sf):
     return analogue_star(spark, sf).listing_final
 
 
+def q_enrich_host_by_suburb(spark, sf):
+    """The host lookup by suburb name against the suburb-grain table (B-08, Q-13,
+    Q-14), where a name that two areas share makes two rows."""
+    layers = analogue.shared_suburb_layers(spark, sf)
+    joined = lga_joined(layers["suburb"], layers["code"], layers["g01"], layers["g02"])
+    return listing_final(layers["listing"], joined, lookup_key="suburb_name")
+
+
 # --- joins ---------------------------------------------------------------
 
 def q_natural_join_one_key(spark, sf):
@@ -100,9 +109,7 @@ def q_mixed_type_join(spark, sf):
 
 def q_fanout_join(spark, sf):
     """Row count of the host mart's k-squared self-join per LGA name."""
-    rev, _ = M.host_mart_parts(analogue_star(spark, sf))
-    return (rev.groupBy("lga_name").agg(F.sum("pair_rows").alias("pair_rows"))
-               .withColumns(_bigint("pair_rows")))
+    return M.host_pair_rows(analogue_star(spark, sf)).withColumns(_bigint("pair_rows"))
 
 
 # --- marts ---------------------------------------------------------------
@@ -244,6 +251,15 @@ def q1_worst_lga_population(spark, sf):
     return A.lga_population(star, A.worst_neighbourhood(star).select("listing_neighbourhood"))
 
 
+#: The area that the literal-filter query asks for.
+ASKED_LGA = "FRANCE"
+
+
+def q1_scalar_subquery_lga(spark, sf, name: str = ASKED_LGA):
+    """Population of the area of a given name, by literal filter and scalar subquery."""
+    return A.lga_population(analogue_star(spark, sf), F.lit(name))
+
+
 def q2_top5_neighbourhoods(spark, sf):
     return A.top5_neighbourhoods(analogue_star(spark, sf)).withColumn(
         "avg_est_price", as_double("avg_est_price"))
@@ -286,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "dim_lga_suburb": q_dim_lga_suburb,
     "enrich_left_listing": q_enrich_left_listing,
     "enrich_left_host": q_enrich_left_host,
+    "enrich_host_by_suburb": q_enrich_host_by_suburb,
     "natural_join_one_key": q_natural_join_one_key,
     "natural_join_two_keys_null": q_natural_join_two_keys_null,
     "mixed_type_join": q_mixed_type_join,
@@ -307,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "q1_worst_neighbourhood": q1_worst_neighbourhood,
     "q1_best_lga_population": q1_best_lga_population,
     "q1_worst_lga_population": q1_worst_lga_population,
+    "q1_scalar_subquery_lga": q1_scalar_subquery_lga,
     "q2_top5_neighbourhoods": q2_top5_neighbourhoods,
     "q2_listing_types_semi": q2_listing_types_semi,
     "q2_modal_types": q2_modal_types,

@@ -211,26 +211,46 @@ def fact_with_host_lga_name(star: Star) -> DataFrame:
     return f.join(kt, f["host_lga"] == kt["lga_code"], "inner").drop(kt["lga_code"])
 
 
-def host_mart_parts(star: Star) -> tuple[DataFrame, DataFrame]:
+def host_cells(star: Star) -> DataFrame:
+    """lga_name, year_month, listing, n, s: one row per listing (n = sum(k),
+    s = sum(k * est)) and, with NULL listing, one per distinct host.
+
+    Each fact row gives two cells, one under its listing and one under its host,
+    so that one scan, one join and one aggregate (combined map-side) serve both."""
     fk = fact_with_host_lga_name(star).where(F.col("listing_id").isNotNull()
                                              & F.col("year_month").isNotNull())
-    grp = (fk.groupBy("listing_id", "lga_name", "year_month")
-             .agg(F.sum("k").alias("n"), F.sum((F.col("k") * est_price()).cast(DEC0)).alias("s")))
-    rev = (grp.groupBy("lga_name", "year_month")
-              .agg(F.sum((F.col("n") * F.col("s")).cast(DEC0)).alias("total_rev"),
-                   F.sum(F.col("n") * F.col("n")).alias("pair_rows")))
-    hosts = (fk.where(F.col("host_id").isNotNull())
-               .groupBy("lga_name", "year_month", "host_id").agg(F.lit(1).alias("__one"))
-               .groupBy("lga_name", "year_month").agg(F.count("*").alias("num_distinct_host")))
-    return rev, hosts
+    nothing = F.lit(0).cast(DEC0)
+    cells = F.array(
+        F.struct(F.col("listing_id").cast("bigint").alias("listing"), F.lit(None).cast("bigint").alias("host"),
+                 F.col("k").alias("n"), (F.col("k") * est_price()).cast(DEC0).alias("s")),
+        F.struct(F.lit(None).cast("bigint").alias("listing"), F.col("host_id").cast("bigint").alias("host"),
+                 F.lit(0).cast("bigint").alias("n"), nothing.alias("s")))
+    return (fk.select("lga_name", "year_month", F.explode(cells).alias("c"))
+              .groupBy("lga_name", "year_month", F.col("c.listing").alias("listing"), F.col("c.host").alias("host"))
+              .agg(F.sum("c.n").alias("n"), F.sum("c.s").alias("s")))
 
 
 def host_mart(star: Star) -> DataFrame:
     """M-20..M-23 (no availability filter, Q-20)."""
-    rev, hosts = host_mart_parts(star)
-    j = rev.join(hosts, ["lga_name", "year_month"], "left")
+    j = host_cells(star).groupBy("lga_name", "year_month").agg(
+        F.count("host").alias("num_distinct_host"),
+        F.sum(F.when(F.col("listing").isNotNull(), (F.col("n") * F.col("s")).cast(DEC0))).alias("total_rev"))
     return j.select(
-        F.col("lga_name").alias("host_neighbourhood_lga"), "year_month",
-        F.coalesce(F.col("num_distinct_host"), F.lit(0)).alias("num_distinct_host"),
-        F.col("total_rev"),
+        F.col("lga_name").alias("host_neighbourhood_lga"), "year_month", "num_distinct_host", "total_rev",
         ratio6("total_rev", F.nullif(F.col("num_distinct_host"), F.lit(0))).alias("avg_rev_per_host"))
+
+
+def host_mart_parts(star: Star) -> tuple[DataFrame, DataFrame]:
+    """Revenue and pair rows, and distinct hosts, per LGA name and month."""
+    cells = host_cells(star)
+    g = ["lga_name", "year_month"]
+    rev = (cells.where(F.col("listing").isNotNull()).groupBy(*g)
+           .agg(F.sum((F.col("n") * F.col("s")).cast(DEC0)).alias("total_rev"),
+                F.sum(F.col("n") * F.col("n")).alias("pair_rows")))
+    hosts = cells.groupBy(*g).agg(F.count("host").alias("num_distinct_host"))
+    return rev, hosts
+
+
+def host_pair_rows(star: Star) -> DataFrame:
+    """Rows of the k-squared self-join per LGA name, counted without making them."""
+    return host_mart_parts(star)[0].groupBy("lga_name").agg(F.sum("pair_rows").alias("pair_rows"))

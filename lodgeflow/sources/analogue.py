@@ -150,3 +150,19 @@ def staging_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("l_discount") * 100).cast("int").alias("review_scores_accuracy"),
         F.trunc(ship, "month").alias("year_month"),
     )
+
+
+def shared_suburb_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Listings whose host_neighbourhood is a suburb (supplier) name, and area tables in
+    which every tenth suburb bears the next one's name, in whatever area it lies."""
+    key = F.regexp_extract("suburb_name", "[0-9]+", 0).try_cast("bigint")
+    shared = F.concat(F.lit("Supplier#"), F.lpad((key + 1).cast("string"), 9, "0"))
+    suburb = staging_lga_suburb(spark, sf_dir).withColumn(
+        "suburb_name", F.when(key % 10 == 0, shared).otherwise(F.col("suburb_name")))
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    listing = li.join(s, li.l_suppkey == s.s_suppkey).select(
+        F.col("l_orderkey").alias("scrape_id"), F.col("l_linenumber").alias("number_of_reviews"),
+        F.col("l_partkey").alias("listing_id"), F.col("s_name").alias("host_neighbourhood"))
+    return {"suburb": suburb, "code": staging_lga_code(spark, sf_dir), "listing": listing,
+            "g01": staging_census_g01(spark, sf_dir), "g02": staging_census_g02(spark, sf_dir)}

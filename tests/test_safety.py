@@ -157,3 +157,14 @@ def test_changed_inputs_are_seen_and_nothing_is_written(spark):
 def test_suburb_list_reads_its_own_tables_only(spark):
     scans = QUERIES["dim_lga_suburb"](spark, SMALL_SF).inputFiles()
     assert {os.path.basename(f) for f in scans} == {"supplier.parquet", "nation.parquet"}
+
+
+def test_two_codes_for_one_name_are_an_error(spark):
+    from pyspark.sql import functions as F
+    lga = spark.createDataFrame([("A", "1", 5), ("A", "2", 6), ("B", "3", 7)], "lga_name string, lga_code string, Age_20_24_yr_P int")
+    fact = spark.createDataFrame([(1,), (2,), (3,)], "listing_lga int")
+    star = Star(fact=fact, dim_host=None, dim_listing=None, dim_lga_code=lga, dim_lga_suburb=None, listing_final=None)
+    assert A.lga_population(star, F.lit("B")).first() == ("B", 7)
+    assert A.lga_population(star, F.lit("C")).collect() == []
+    with pytest.raises(PySparkException, match="(?i)scalar subquery|more than one row"):
+        A.lga_population(star, F.lit("A")).collect()
