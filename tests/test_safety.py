@@ -166,5 +166,5 @@ def test_two_codes_for_one_name_are_an_error(spark):
     star = Star(fact=fact, dim_host=None, dim_listing=None, dim_lga_code=lga, dim_lga_suburb=None, listing_final=None)
     assert A.lga_population(star, F.lit("B")).first() == ("B", 7)
     assert A.lga_population(star, F.lit("C")).collect() == []
-    with pytest.raises(PySparkException, match="(?i)scalar subquery|more than one row"):
+    with pytest.raises(Exception, match="(?i)scalar.subquery|more than one row"):
         A.lga_population(star, F.lit("A")).collect()
