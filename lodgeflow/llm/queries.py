@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, license_scan, packing, quality_crf, quality_rules, secret_scan, sentencepieces, substring_dedup, suffix_dedup
+from . import (fingerprints, jaccard_join, license_scan, packing, quality_crf, quality_rules, secret_scan,
+               sentencepieces, substring_dedup, suffix_dedup)
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,7 +29,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +53,9 @@ def op9_pack_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.drop("text_key").withColumns(
+        {c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
