@@ -16,7 +16,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OWN_ROOT: dict[str, str] = {}
 
 
