@@ -10,7 +10,8 @@ and long lists further into blocks.  In a tile, bitmaps of hashed shingles are c
 the bits in which two differ bound the overlap from above.  Pairs that may reach the
 threshold are settled by intersecting sorted arrays.  A first round joins sets inside small
 tiles of a few lists, so that groups of copies collapse; the second round compares across
-those groups in all tiles of all lists, so that no link between groups is lost.
+those groups in all tiles of all lists, so that no link between groups is lost.  Tiles hold
+bitmaps alone; shingles are only gathered for the pairs that a round leaves.
 
 Defined results: null and empty texts have empty sets, linked with nothing; a text of
 fewer words than a shingle is one shingle; rows without doc_id have no component; rows with
@@ -42,6 +43,9 @@ FIRST_LISTS = 3
 FIRST_TILE = 256
 #: Sets in one block of a tile of the second round.
 BLOCK = 2048
+#: So many of a set's least shingles in lists say in which tile of the second round it meets another.
+FIRSTS = 8
+NO_SHINGLE = np.iinfo(np.int64).max
 SLICE = 512 << 10
 
 
@@ -93,11 +97,12 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n + 1 + (-percent * n) // 100
 
 
-SETS = "doc_id long, text_key long, n long, s1 long, s2 long, posted array<long>"
+SETS = "doc_id long, text_key long, n long, s1 long, s2 long, posted array<long>, bits binary"
 
 
 def set_rows(words: int, percent: int, frequent: np.ndarray):
-    """(doc_id, text, text_key) -> size, two hashes of the set, and the posted shingles, rarest first."""
+    """(doc_id, text, text_key) -> size, two hashes of the set, the posted shingles, rarest
+    first, and the bitmap."""
     out = arrow_schema(SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +127,8 @@ def set_rows(words: int, percent: int, frequent: np.ndarray):
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64)), type=out.types[5])],
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64)), type=out.types[5]),
+                pa.array([bitmap(h[a:b]).tobytes() if b > a else None for a, b in zip(bounds, bounds[1:])], pa.binary())],
                 schema=out)
 
     return run
@@ -147,23 +153,24 @@ def band(n):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.25)) + 1e-9).cast("int")
 
 
-NODE = "doc_id long, n long, bits binary, shingles binary"
+NODE = "doc_id long, shingles binary"
 
 
 def node_rows(words: int):
-    """(doc_id, s1, text) -> size, bitmap and sorted shingles."""
+    """(doc_id, s1, text) -> sorted shingles, once for each doc_id of the task."""
     out = arrow_schema(NODE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, met = Hasher(), set()
         for batch in slices(batches, SLICE):
             doc, h = shingles(hasher, batch.column(2), words)
             bounds = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             rows = []
             for i, s1, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bounds, bounds[1:]):
                 own = h[a:b]
-                if int(mix(own).sum(dtype=np.uint64).view(np.int64)) == s1:
-                    rows.append((i, int(b - a), bitmap(own).tobytes(), own.tobytes()))
+                if i not in met and int(mix(own).sum(dtype=np.uint64).view(np.int64)) == s1:
+                    met.add(i)
+                    rows.append((i, own.tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), out.types)], schema=out)
 
@@ -223,47 +230,64 @@ def tiles(solve: Callable[[list[tuple]], list[tuple]], keys: int, ddl: str):
 
 
 def join_tile(percent: int):
-    """Rows (h, band, sub, doc_id, n, bits, shingles) of one tile -> links that join what the
-    tile can join.  Sets already joined are not compared again."""
+    """Rows (h, band, sub, doc_id, n, bits) of one tile -> pairs that join, as a forest, what
+    the bitmaps cannot keep apart."""
 
     def solve(rows: list[tuple]) -> list[tuple]:
         if len(rows) < 2:
             return []
         rows.sort(key=lambda r: (r[4], r[3]))
         n = np.array([r[4] for r in rows])
+        doc = np.array([r[3] for r in rows])
         bits = matrix([r[5] for r in rows])
-        sets = [np.frombuffer(r[6], np.uint64) for r in rows]
         root = np.arange(len(rows))
-        links = []
+        pairs = []
         for k in range(1, len(rows)):
             low = int(np.searchsorted(n, -(-percent * n[k] // 100)))
             near = np.flatnonzero(may_link(bits[low:k], n[low:k], bits[k], int(n[k]), percent)) + low
-            for j in near.tolist():
-                if root[j] != root[k] and linked(sets[j], sets[k], percent):
-                    links.append((rows[k][3], rows[j][3]))
+            for j in near[np.argsort(doc[near])].tolist():
+                if root[j] != root[k]:
+                    pairs.append((min(doc[j], doc[k]), max(doc[j], doc[k])))
                     root[root == root[k]] = root[j]
-        return links
+        return pairs
 
     return solve
 
 
+def first_common(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """The smallest shingle that a row of ``theirs`` shares with ``mine``, else ``NO_SHINGLE``."""
+    shared = (theirs[:, :, None] == mine[None, None, :]).any(2) & (theirs != NO_SHINGLE)
+    return np.where(shared, theirs, NO_SHINGLE).min(1)
+
+
 def cross_tile(percent: int):
-    """Rows (h, band, i, j, doc_id, group, n, home, guest, bits) of one tile -> pairs of
-    homes and others that may link, of different groups."""
+    """Rows (h, band, i, j, doc_id, group, n, home, guest, minor, bits, least) of one tile ->
+    pairs of homes and others that may link, of different groups.
+
+    A pair stands in many lists.  Where the sets share one of the least shingles that they
+    have in lists, only the tile of the smallest such shingle gives the pair."""
 
     def solve(rows: list[tuple]) -> list[tuple]:
         homes, others = [r for r in rows if r[7]], [r for r in rows if not r[7]]
         if not homes or not others:
             return []
-        bits = matrix([r[9] for r in homes + others])
+        h = rows[0][0]
+        bits = matrix([r[10] for r in homes + others])
         mine, theirs = bits[:len(homes)], bits[len(homes):]
         doc, group, n, guest = (np.array([r[k] for r in others]) for k in (4, 5, 6, 8))
+        least = np.full((len(others), FIRSTS), NO_SHINGLE)
+        for k, r in enumerate(others):
+            least[k, :len(r[11])] = r[11]
         pairs = []
         for k, r in enumerate(homes):
-            fit = (group != r[5]) & ~(guest & r[8])
-            if fit.any():
-                at = np.flatnonzero(fit)
+            # Two sets outside the main group meet twice, once as each one's home.
+            fit = (group != r[5]) & ~(guest & r[8]) & ((doc > r[4]) | (not r[9]))
+            at = np.flatnonzero(fit)
+            if len(at):
                 at = at[may_link(theirs[at], n[at], mine[k], r[6], percent)]
+            if len(at):
+                first = first_common(np.array(r[11]), least[at])
+                at = at[(first == h) | (first == NO_SHINGLE)]
                 pairs += [(min(r[4], d), max(r[4], d)) for d in doc[at].tolist()]
         return list(set(pairs))
 
@@ -282,18 +306,33 @@ def verify(percent: int):
     return run
 
 
+def verified(docs: DataFrame, leads: DataFrame, pairs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) that are links.  Only texts that stand in a pair are shingled again."""
+    pairs = written(pairs.distinct(), f"{name}-pairs")
+    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    wanted = leads.select("doc_id", "s1").distinct().join(wanted, "doc_id")
+    sets = written(docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "s1", "text")
+                   .mapInArrow(node_rows(words), NODE), f"{name}-sets")
+    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
+    return written(both.select("a", "b", "x", "y").mapInArrow(verify(percent), "a long, b long"), f"{name}-links")
+
+
 def first_round(posts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) inside small tiles of each set's first lists."""
-    lists = posts.groupBy("h", "band").agg(F.count(F.lit(1)).alias("m"))
-    few = (posts.where(F.col("place") <= FIRST_LISTS).join(lists.where(F.col("m") > 1), ["h", "band"])
-           .select("h", "band", "doc_id", F.pmod(F.xxhash64("doc_id", "h"), F.ceil(F.col("m") / FIRST_TILE)).alias("sub")))
-    rows = few.join(nodes, "doc_id").select("h", "band", "sub", "doc_id", "n", "bits", "shingles")
+    """Pairs (a, b) inside small tiles of each set's first lists."""
+    lists = posts.groupBy("h", "band").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
+    own = posts.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "h", "band"))),
+                                              1, FIRST_LISTS).alias("p"))
+    few = own.select("doc_id", F.explode("p").alias("x")).select("doc_id", "x.h", "x.band")
+    few = few.join(lists, ["h", "band"]).select("h", "band", "doc_id", F.pmod(
+        F.xxhash64("doc_id", "h"), F.ceil(F.col("m") / FIRST_TILE)).alias("sub"))
+    rows = few.join(nodes, "doc_id").select("h", "band", "sub", "doc_id", "n", "bits")
     return (rows.repartition("h", "band", "sub").sortWithinPartitions("h", "band", "sub")
             .mapInArrow(tiles(join_tile(percent), 3, "a long, b long"), "a long, b long"))
 
 
 def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Links between sets of different groups, from all tiles of all lists."""
+    """Pairs (a, b) of different groups that may link, from all tiles of all lists."""
     own = posts.join(groups, "doc_id", "left").select(
         "h", "doc_id", "band", F.coalesce("group", "doc_id").alias("group"))
     rows = own.withColumn("guest", F.lit(False)).unionByName(
@@ -313,14 +352,11 @@ def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent:
     homes = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rest") - 1))).withColumn("home", F.lit(True))
     others = (rows.where(F.col("group") != F.col("main"))
               .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.lit(False)))
-    both = (homes.unionByName(others).join(nodes.select("doc_id", "n", "bits"), "doc_id")
-            .select("h", "band", "i", "j", "doc_id", "group", "n", "home", "guest", "bits"))
-    pairs = (both.repartition("h", "band", "i", "j").sortWithinPartitions("h", "band", "i", "j")
-             .mapInArrow(tiles(cross_tile(percent), 4, "a long, b long"), "a long, b long").distinct())
-    sets = nodes.select("doc_id", "shingles")
-    return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(verify(percent), "a long, b long"))
+    both = (homes.unionByName(others).withColumn("minor", F.col("group") != F.col("main"))
+            .join(nodes, "doc_id")
+            .select("h", "band", "i", "j", "doc_id", "group", "n", "home", "guest", "minor", "bits", "least"))
+    return (both.repartition("h", "band", "i", "j").sortWithinPartitions("h", "band", "i", "j")
+            .mapInArrow(tiles(cross_tile(percent), 4, "a long, b long"), "a long, b long"))
 
 
 def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -337,20 +373,16 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     lists = (some.select("s1", F.explode("posted").alias("h")).groupBy("h")
              .agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where(F.col("low") != F.col("high")).select("h"))
     leads = some.join(firsts.select("doc_id", "s1", "s2"), ["doc_id", "s1", "s2"])
-    posts = (leads.select("doc_id", "s1", "n", F.posexplode("posted").alias("place", "h"))
-             .join(lists, "h").distinct())
-    posts = written(posts.select("h", "doc_id", "s1", band(F.col("n")).alias("band"), "place"), "posts")
-    ranked = posts.groupBy("doc_id", "s1").agg(F.array_sort(F.collect_set(F.struct("place", "h", "band"))).alias("p"))
-    posts = written(ranked.select("doc_id", "s1", F.posexplode("p").alias("k", "x")).select(
-        F.col("x.h").alias("h"), "doc_id", "s1", F.col("x.band").alias("band"), (F.col("k") + 1).alias("place")), "posts")
-    wanted = posts.select("doc_id", "s1").distinct()
-    nodes = written(docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "s1", "text")
-                    .mapInArrow(node_rows(words), NODE), "nodes")
-    nodes = nodes.dropDuplicates(["doc_id"])
-    near = written(first_round(posts, nodes, percent), "near")
+    posts = (leads.select("doc_id", "n", F.posexplode("posted").alias("place", "h"))
+             .join(lists, "h").select("h", "doc_id", band(F.col("n")).alias("band"), "place").distinct())
+    posts = written(posts, "posts")
+    # At most as many shingles of a set come together here as it has posted.
+    least = posts.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_set("h")), 1, FIRSTS).alias("least"))
+    nodes = written(leads.select("doc_id", "n", "bits").dropDuplicates(["doc_id"]).join(least, "doc_id"), "nodes")
+    near = verified(docs, leads, first_round(posts, nodes, percent), words, percent, "near")
     groups = components(near).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "group")
     groups = written(groups, "groups")
-    far = written(second_round(posts, nodes, groups, percent), "far")
+    far = verified(docs, leads, second_round(posts, nodes, groups, percent), words, percent, "far")
     found = components(near.unionByName(far))
     first_of = (sets.select("doc_id", "text_key", "n", "s1", "s2")
                 .join(firsts.select("s1", "s2", F.col("doc_id").alias("first")), ["s1", "s2"], "left"))
