@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, slices, text_of, written
+from .jaccard_join import tiles
 
 CLASS_BITS = 6
 PERIOD = 1024
@@ -39,6 +40,10 @@ OCTAVES = 40
 SEED = 7
 BAND = 8
 LIKE = 0.8
+#: Different fingerprints in one block of a band's bucket.
+BLOCK = 2048
+PRINTS = "doc_id long, fingerprint string, bands array<string>"
+PAIRS = "doc_id long, representative long, likeness double"
 
 
 class Print(NamedTuple):
@@ -206,7 +211,7 @@ def edit_fingerprints(documents: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def print_and_bands(seed: int, band: int):
-    out = arrow_schema("doc_id long, fingerprint string, bands array<string>")
+    out = arrow_schema(PRINTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walker = Walker(seed)
@@ -214,42 +219,80 @@ def print_and_bands(seed: int, band: int):
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 made = walked(walker, i, text).print
-                full = int(np.searchsorted(walker.times, made.length)) // SAMPLES
-                octaves = [o for o in (full - 2, full - 1) if o >= 0]
-                keys = [f"{o}.{k}." + bytes(made.symbols[o * SAMPLES + k:o * SAMPLES + k + band]).hex()
-                        for o in octaves for k in range(0, SAMPLES, band)]
-                rows.append((i, made.text(), keys or [f"short.{made.text()}"]))
+                full = len(made.symbols) // SAMPLES
+                keys = [f"{k // SAMPLES}.{k % SAMPLES}." + bytes(made.symbols[k:k + band]).hex()
+                        for o in range(max(0, full - 2), full + 1)
+                        for k in range(o * SAMPLES, min((o + 1) * SAMPLES, len(made.symbols)), band)]
+                rows.append((i, made.text(), keys))
             yield batch_of(rows, out)
 
     return run
 
 
+def like_tile(seed: int, likeness: float):
+    """Rows (band, i, j, block, doc_id, fingerprint) of one tile -> the pairs that join, as a
+    forest, what is alike.  A tile of two blocks compares across them only."""
+    walker = Walker(seed)
+    times, weights = walker.times, walker.weights
+
+    def solve(rows: list[tuple]) -> list[tuple]:
+        if len(rows) < 2:
+            return []
+        rows.sort(key=lambda r: r[4:])
+        prints = [parse(r[5]) for r in rows]
+        doc, block = (np.array([r[k] for r in rows]) for k in (4, 3))
+        across = rows[0][1] != rows[0][2]
+        width = max(len(p.symbols) for p in prints)
+        symbols = np.full((len(rows), width), 255, np.uint8)
+        for k, p in enumerate(prints):
+            symbols[k, :len(p.symbols)] = p.symbols
+        reach = np.searchsorted(times, [p.length for p in prints])
+        total = np.concatenate([[0], np.cumsum(weights)])
+        root, pairs = np.arange(len(rows)), []
+        for k in range(1, len(rows)):
+            n = len(prints[k].symbols)
+            own = (symbols[:k, :n] == prints[k].symbols) @ weights[:n] / total[np.maximum(reach[:k], reach[k])]
+            fit = own >= likeness
+            if across:
+                fit &= block[:k] != block[k]
+            for j in np.flatnonzero(fit).tolist():
+                if root[j] != root[k]:
+                    if doc[j] != doc[k]:
+                        pairs.append((int(doc[k]), int(doc[j]), float(own[j])))
+                    root[root == root[k]] = root[j]
+        return pairs
+
+    return solve
+
+
 def near_duplicates(documents: DataFrame, likeness: float = LIKE, band: int = BAND,
-                    seed: int = SEED) -> DataFrame:
+                    seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """Verified pairs (doc_id, representative, likeness) of documents that share a band.
 
-    Within a band's bucket each document is paired with the smallest doc_id, not with all
-    others; documents are met in every band of their two longest full octaves.  Like any
-    banding this can miss pairs.
+    Equal fingerprints are merged first, under their smallest doc_id.  All different
+    fingerprints of a band's bucket are compared, in tiles of two blocks at most; of the
+    pairs that are alike, a tile gives a forest, with the smallest doc_ids as representatives.
+    So documents that are alike are always linked, by their own pair or by others.
+    Documents are met in every band of their two longest full octaves and of the
+    unfinished one behind them.  Like any banding this can miss pairs.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    prints = written(docs.mapInArrow(print_and_bands(seed, band),
-                                     "doc_id long, fingerprint string, bands array<string>"), "prints")
-    bands = prints.select("doc_id", F.explode("bands").alias("band"))
-    heads = bands.groupBy("band").agg(F.min("doc_id").alias("representative"))
-    pairs = (bands.join(heads, "band").where(F.col("doc_id") > F.col("representative"))
-             .select("doc_id", "representative").distinct())
-    both = (pairs.join(prints.select("doc_id", "fingerprint"), "doc_id")
-            .join(prints.select(F.col("doc_id").alias("representative"),
-                                F.col("fingerprint").alias("other")), "representative"))
-    out = arrow_schema("doc_id long, representative long, likeness double")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walker = Walker(seed)
-        for batch in slices(batches):
-            i, r, a, b = (c.to_pylist() for c in batch.columns)
-            yield batch_of([(x, y, walker.likeness(parse(p), parse(q))) for x, y, p, q in zip(i, r, a, b)], out)
-
-    return (both.select("doc_id", "representative", "fingerprint", "other")
-            .mapInArrow(verify, "doc_id long, representative long, likeness double")
-            .where(F.col("likeness") >= likeness))
+    docs = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+            .where(F.col("doc_id").isNotNull()))
+    prints = written(docs.mapInArrow(print_and_bands(seed, band), PRINTS), "prints")
+    firsts = written(prints.groupBy("fingerprint").agg(
+        F.min("doc_id").alias("representative"), F.first("bands").alias("bands")), "first-prints")
+    copies = (prints.select("doc_id", "fingerprint").join(firsts.select("fingerprint", "representative"), "fingerprint")
+              .where(F.col("doc_id") > F.col("representative"))
+              .select("doc_id", "representative", F.lit(1.0).alias("likeness")))
+    rows = firsts.select(F.explode("bands").alias("band"), F.col("representative").alias("doc_id"), "fingerprint")
+    stats = (rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+             .select("band", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    rows = (rows.join(stats, "band")
+            .withColumn("block", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "doc_id", "fingerprint"))
+    near = (rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+            .mapInArrow(tiles(like_tile(seed, likeness), 3, PAIRS), PAIRS))
+    return (near.unionByName(copies.where(F.col("likeness") >= likeness))
+            .groupBy("doc_id", "representative").agg(F.max("likeness").alias("likeness")))

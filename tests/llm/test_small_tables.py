@@ -8,6 +8,7 @@ from array import array
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -310,6 +311,32 @@ def test_fingerprint_near_duplicates(docs):
     assert (5, 3) in pairs and (9, 3) in pairs and not any(p[0] == 18 for p in pairs)
 
 
+@pytest.mark.parametrize("block", [2048, 2])
+def test_fingerprints_with_a_shared_head(spark, block):
+    """A document that shares only its head with others stands in front of all of them."""
+    head, tails = cases.prose(31, 400)[:1060], [cases.prose(32 + k, 400)[:840] for k in range(3)]
+    near = tails[1][:500] + tails[2][500:600] + tails[1][600:]
+    rows = [(1, head + " " + tails[0]), (2, head + " " + tails[1]), (3, head + " " + tails[1]),
+            (4, head + " " + near), (5, head + " " + tails[2]), (6, head + " " + tails[2]), (None, head)]
+    walker = fingerprints.Walker()
+    made = [fingerprints.walked(walker, i, t).print for i, t in rows]
+    # The head covers the full octaves.
+    assert all(2048 < p.length < 4096 for p in made[:6]) and fingerprints.walked(walker, 0, head).print.length > 2048
+    assert all(walker.likeness(made[0], p) < 0.8 for p in made[1:6]) and 0.8 <= walker.likeness(made[1], made[3]) < 1
+    got = {tuple(r) for r in fingerprints.near_duplicates(cases.documents(spark, rows), block=block).collect()}
+    assert got == {(3, 2, 1.0), (4, 2, walker.likeness(made[1], made[3])), (6, 5, 1.0)}
+
+
+def test_the_unfinished_octave_has_bands(spark):
+    text = cases.prose(41, 300)
+    made = fingerprints.walked(fingerprints.Walker(), 1, text).print
+    full, rest = divmod(len(made.symbols), fingerprints.SAMPLES)
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "text": text}])
+    bands = next(fingerprints.print_and_bands(fingerprints.SEED, fingerprints.BAND)(iter([batch]))).column(2)
+    octaves = Counter(int(b.split(".")[0]) for b in bands.to_pylist()[0])
+    assert rest and octaves == {full - 2: 4, full - 1: 4, full: -(-rest // fingerprints.BAND)}
+
+
 def test_quality_rules(docs):
     rows = quality_rules.quality_rules(docs).collect()
     want = []
