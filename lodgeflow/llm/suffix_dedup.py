@@ -9,7 +9,10 @@ is l bytes long, and the search stops at the minimum length.  What is unmarked t
 separates nothing: suffixes between two marks share the window.  The earliest place
 (doc_id, then start) owns a window; every other place loses its bytes.
 
-Anchors that very many texts hold are split by a second anchor of the same windows.
+Anchors that very many texts hold are split by a second anchor of the same windows.  What
+is still larger than a block goes to several transforms, each with its share of the different
+segments; a block's own windows, one of each kind, then meet those of the bucket's other
+blocks by 128-bit hashes.
 
 Defined results: null and empty texts have no bytes; rows without doc_id keep all bytes and
 take none from others; equal texts lose all bytes but in the smallest doc_id; texts
@@ -37,7 +40,7 @@ LENGTH = 100
 GRAM = 40
 #: Texts with an anchor beyond which its windows are split by a second anchor.
 HOT = 2000
-#: Bytes of different segments in one transform; a larger bucket has one to itself.
+#: Bytes of different segments in one transform; a larger bucket is dealt to several.
 BLOCK = 1 << 20
 #: Separates segments; no byte of UTF-8.
 END = 255
@@ -162,16 +165,18 @@ def cut_segments(length: int, gram: int):
     return run
 
 
-OWNED = "bucket long, segment long, low int, high int, owner long, owner_start int"
+OWNED = "bucket long, segment long, low int, high int, owner long, owner_start int, own binary"
 
 
 def expand(length: int, block: int):
-    """Different segments, sorted by bucket -> stretches of windows and their earliest places."""
+    """Different segments, sorted by bucket and part -> stretches of windows and their earliest
+    places in the part; ``own`` has the bytes of a stretch whose part is one of several and
+    that has no earlier place in it."""
     out = arrow_schema(OWNED)
 
     def solve(rows: list[tuple]) -> pa.RecordBatch | None:
-        rows.sort(key=lambda r: r[:2])
-        bucket, segment, docs, starts, texts = zip(*rows)
+        rows.sort(key=lambda r: r[:3])
+        bucket, parts, segment, docs, starts, texts = zip(*rows)
         docs, starts = np.array(docs), np.array(starts)
         seg, off, doc, start = owners(list(texts), docs, starts, length)
         order = np.lexsort((off, seg))
@@ -180,15 +185,18 @@ def expand(length: int, block: int):
         new[1:] = (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (np.diff(start) != 1)
         firsts = np.flatnonzero(new)
         lasts = np.append(firsts[1:], len(seg)) - 1
-        bucket, segment = np.array(bucket)[seg[firsts]], np.array(segment)[seg[firsts]]
+        seg, low, high, doc, start = seg[firsts], off[firsts], off[lasts], doc[firsts], start[firsts]
+        bucket, segment = np.array(bucket)[seg], np.array(segment)[seg]
+        own = (np.array(parts)[seg] > 0) & (doc == docs[seg]) & (start == starts[seg] + low)
         return pa.RecordBatch.from_arrays([
-            pa.array(bucket), pa.array(segment), pa.array(off[firsts].astype(np.int32)),
-            pa.array(off[lasts].astype(np.int32)), pa.array(doc[firsts]),
-            pa.array(start[firsts].astype(np.int32))], schema=out)
+            pa.array(bucket), pa.array(segment), pa.array(low.astype(np.int32)),
+            pa.array(high.astype(np.int32)), pa.array(doc), pa.array(start.astype(np.int32)),
+            pa.array([texts[k][a:b + length] if x else None for k, a, b, x in zip(
+                seg.tolist(), low.tolist(), high.tolist(), own.tolist())], pa.binary())], schema=out)
 
     def alone(rows: list[tuple]) -> bool:
         """Whether no window repeats: the middle, which all windows hold, stands there once."""
-        text = rows[0][4]
+        text = rows[0][5]
         middle = len(text) - length
         return len(rows) == 1 and length - middle >= 16 and text.find(text[middle:length], middle + 1) < 0
 
@@ -202,7 +210,7 @@ def expand(length: int, block: int):
                 singles.extend(group)
             else:
                 held.extend(group)
-                size += sum(len(r[4]) + 1 for r in group)
+                size += sum(len(r[5]) + 1 for r in group)
             group.clear()
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -210,19 +218,20 @@ def expand(length: int, block: int):
             if held:
                 yield solve(held)
             if singles:
-                b, s, d, a, t = zip(*singles)
+                b, p, s, d, a, t = zip(*singles)
                 zero = np.zeros(len(b), np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(b), pa.array(s), pa.array(zero),
                     pa.array(np.array([len(x) - length for x in t], np.int32)),
-                    pa.array(d), pa.array(a, pa.int32())], schema=out)
+                    pa.array(d), pa.array(a, pa.int32()),
+                    pa.array([x if k else None for k, x in zip(p, t)], pa.binary())], schema=out)
             held.clear()
             singles.clear()
             size = 0
 
         for batch in slices(batches):
             for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if group and group[0][0] != row[0]:
+                if group and group[0][:2] != row[:2]:
                     close()
                     if size >= block or len(singles) >= 50_000:
                         yield from flush()
@@ -233,6 +242,67 @@ def expand(length: int, block: int):
     return run
 
 
+WINDOW = "bucket long, segment long, at int, doc_id long, start int, w1 long, w2 long"
+
+
+def own_windows(length: int):
+    """Own stretches -> their windows: offset in the segment, place, and two hashes."""
+    out = arrow_schema(WINDOW)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashers = Hasher(), Hasher(2)
+        for batch in slices(batches, SLICE):
+            bucket, segment, low, doc_id, start, texts = batch.columns
+            data, bounds = buffer_of(texts)
+            n = np.diff(bounds) - length + 1
+            row = np.repeat(np.arange(len(n)), n)
+            step = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            at = bounds[row] + step
+            hashes = [h.stretch(h.sums(h.values[data]), at, at + length) for h in hashers]
+            low, start = (c.to_numpy()[row] + step.astype(np.int32) for c in (low, start))
+            which = pa.array(row)
+            yield pa.RecordBatch.from_arrays([
+                bucket.take(which), segment.take(which), pa.array(low, pa.int32()), doc_id.take(which),
+                pa.array(start, pa.int32()), *[pa.array(h.view(np.int64)) for h in hashes]], schema=out)
+
+    return run
+
+
+def dealt(segments: DataFrame, block: int) -> DataFrame:
+    """bucket, part, segment, doc_id, start, bytes of the different segments: part 0 of a bucket
+    of at most ``block`` bytes, parts 1, 2, ... of about that size of a larger one."""
+    large = (segments.groupBy("bucket", "segment").agg(F.first(F.length("bytes")).alias("n"))
+             .groupBy("bucket").agg(F.sum(F.col("n") + 1).alias("n")).where(F.col("n") > block)
+             .select("bucket", F.ceil(F.col("n") / block).alias("parts")))
+    # One row for each block at most: few beside the segments.
+    large = F.broadcast(written(large, "large-buckets"))
+    # The hash-equal segments of a bucket are one; min_by and min take the same row's place.
+    place = F.struct("doc_id", "start")
+    different = segments.groupBy("bucket", "segment").agg(
+        F.min(place).alias("p"), F.first("bytes").alias("bytes"))
+    part = F.coalesce(F.pmod(F.xxhash64("segment"), F.col("parts")) + 1, F.lit(0)).cast("int")
+    return different.join(large, "bucket", "left").select(
+        "bucket", part.alias("part"), "segment", F.col("p.doc_id").alias("doc_id"),
+        F.col("p.start").alias("start"), "bytes")
+
+
+def owned(segments: DataFrame, length: int, block: int) -> DataFrame:
+    """bucket, segment, low, high, owner, owner_start: for each window of the different segments
+    an earlier place, if there is one, else its own."""
+    solved = written(dealt(segments, block).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+                     .mapInArrow(expand(length, block), OWNED), "solved")
+    windows = (solved.where(F.col("own").isNotNull())
+               .select("bucket", "segment", "low", "owner", "owner_start", "own")
+               .mapInArrow(own_windows(length), WINDOW))
+    place = F.struct("doc_id", "start")
+    first = (windows.groupBy("bucket", "w1", "w2").agg(F.min(place).alias("p"), F.max(place).alias("q"))
+             .where(F.col("p") != F.col("q")).select("bucket", "w1", "w2", "p"))
+    across = (windows.join(first, ["bucket", "w1", "w2"]).where(F.col("p") < place)
+              .select("bucket", "segment", F.col("at").alias("low"), F.col("at").alias("high"),
+                      F.col("p.doc_id").alias("owner"), F.col("p.start").alias("owner_start")))
+    return solved.drop("own").unionByName(across)
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -279,14 +349,7 @@ def removed_spans(docs: DataFrame, length: int, gram: int, hot: int) -> DataFram
     candidates = repeated_anchors(docs, length, gram, words=False, within=True, hot=hot)
     texts = texts_with(docs, candidates).select("doc_id", "k1", "text", "hs", "hots")
     segments = written(texts.mapInArrow(cut_segments(length, gram), SEGMENT), "segments")
-    # The hash-equal segments of a bucket are one; min_by and min take the same row's place.
-    place = F.struct("doc_id", "start")
-    different = segments.groupBy("bucket", "segment").agg(
-        F.min(place).alias("p"), F.first("bytes").alias("bytes"))
-    solved = (different.select("bucket", "segment", F.col("p.doc_id").alias("doc_id"),
-                               F.col("p.start").alias("start"), "bytes")
-              .repartition("bucket").sortWithinPartitions("bucket")
-              .mapInArrow(expand(length, BLOCK), OWNED))
+    solved = owned(segments, length, BLOCK)
     found = (segments.select("bucket", "segment", "doc_id", "k1", "start").join(solved, ["bucket", "segment"])
              .where((F.col("owner") < F.col("doc_id")) | (
                  (F.col("owner") == F.col("doc_id")) & (F.col("owner_start") < F.col("start") + F.col("low"))))

@@ -92,6 +92,63 @@ def test_suffix_dedup(docs, length, gram, hot):
     assert multiset(got) == multiset(want)
 
 
+@pytest.mark.parametrize("hot", [2000, 20])
+def test_suffix_buckets_beyond_a_block_are_dealt(spark, monkeypatch, hot):
+    """A passage shorter than a window, in other surroundings in every text: its anchors have a
+    different segment for each.  Some surroundings stand in several texts."""
+    passage, length, block = cases.prose(50, 40)[:70], 100, 4000
+    around = [(cases.prose(51 + k, 30)[:90], cases.prose(300 + k, 30)[:90]) for k in range(60)]
+    rows = [(k, f"{k:03d}" * (k % 7) + a + passage + b) for k, (a, b) in enumerate(around)]
+    rows += [(100 + k, f"{k:02d}{around[k][0]}{passage}{around[59 - k][1]}") for k in range(0, 60, 3)]
+    real = suffix_dedup.expand
+
+    def counted(length, block):
+        inner = real(length, block)
+
+        def run(batches):
+            batches, sizes = list(batches), Counter()
+            for batch in batches:
+                for row in batch.to_pylist():
+                    sizes[row["bucket"], row.get("part")] += len(row["bytes"]) + 1
+            assert max(sizes.values(), default=0) <= 2 * block, max(sizes.values())
+            yield from inner(iter(batches))
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "expand", counted)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    first, want = {}, []
+    for doc_id, text in rows:
+        for k in range(len(text) - length + 1):
+            first.setdefault(text[k:k + length], (doc_id, k))
+    for doc_id, text in rows:
+        gone = {x for k in range(len(text) - length + 1) if first[text[k:k + length]] < (doc_id, k)
+                for x in range(k, k + length)}
+        kept = "".join(c for k, c in enumerate(text) if k not in gone)
+        want.append((doc_id, len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    assert sum(w[1] > 0 for w in want) >= 15
+    got = suffix_dedup.suffix_dedup(cases.documents(spark, rows), length, hot=hot).collect()
+    assert multiset((r.doc_id, r.n_removed, r.kept_sha256) for r in got) == multiset(want)
+
+
+def test_windows_meet_across_the_blocks_of_a_bucket(spark):
+    length, shared = 100, cases.prose(60, 60)[:130]
+    rows = [(7, 1000 + k, k, k, 5 * k, (cases.prose(61 + k, 20)[:60] + shared[k % 9:] + cases.prose(161 + k, 20)[:60]).encode())
+            for k in range(40)]
+    segments = spark.createDataFrame(rows, suffix_dedup.SEGMENT)
+    assert suffix_dedup.dealt(segments, 2000).select("part").distinct().count() > 2
+    first = {}
+    for _, _, doc, _, start, text in rows:
+        for k in range(len(text) - length + 1):
+            first.setdefault(text[k:k + length], (doc, start + k))
+    want = {(segment, k) for _, segment, doc, _, start, text in rows for k in range(len(text) - length + 1)
+            if first[text[k:k + length]] < (doc, start + k)}
+    doc = {r[1]: r[2] for r in rows}
+    got = {(r.segment, k) for r in suffix_dedup.owned(segments, length, 2000).collect()
+           for k in range(r.low, r.high + 1) if r.owner < doc[r.segment]}
+    assert want and got == want
+
+
 def test_without_repeats_keeps_columns(docs):
     out = suffix_dedup.without_repeats(docs)
     assert out.dtypes == docs.dtypes and out.count() == docs.count()
