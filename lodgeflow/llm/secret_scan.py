@@ -56,7 +56,7 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
-SPAN = "array<struct<start:bigint,end:bigint,rank:int,kind:string>>"
+SPAN = "array<struct<start:bigint,end:bigint,rule:string>>"
 FINDINGS = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 LEDGER = f"blob string, rules array<string>, findings {SPAN}"
 
@@ -70,7 +70,7 @@ def screen(text: Column, rule: Rule) -> Column:
     return F.rlike(text, F.lit(rule.pattern))
 
 
-def spans(text: Column, rule: Rule, rank: int) -> Column:
+def spans(text: Column, rule: Rule) -> Column:
     """Spans of one rule: the gaps and the matches alternate, so running sums of
     their lengths give the places."""
     none = F.array().cast(SPAN)
@@ -85,8 +85,7 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["g"]
         end = start + F.coalesce(x["m"], F.lit(0))
-        span = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rank).alias("rank"),
-                                F.lit(rule.kind).alias("kind")))
+        span = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rule.key).alias("rule")))
         return F.struct(end.alias("at"), F.when(
             x["v"] >= rule.least, F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
 
@@ -114,20 +113,24 @@ def scan_history(versions: DataFrame, content: str, ledger: str,
     if known is None:
         blobs = blobs.withColumn("todo", todo)
     else:
+        # Runs of a ledger from before findings had versions are scanned again.
+        known = known.where(~F.exists("findings", lambda x: x["rule"].isNull()))
         seen = known.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
         blobs = (blobs.join(seen, "blob", "left").withColumn("todo", unseen(rules, F.col("seen")))
                  .where(F.size("todo") > 0).select("blob", "text", "todo"))
-    each = [F.when(F.array_contains("todo", r.key), spans(F.col("text"), r, k)).otherwise(F.array().cast(SPAN))
-            for k, r in enumerate(rules)]
+    each = [F.when(F.array_contains("todo", r.key), spans(F.col("text"), r)).otherwise(F.array().cast(SPAN))
+            for r in rules]
     scanned = blobs.select("blob", F.col("todo").alias("rules"), F.concat(*each).alias("findings"))
     run = f"{ledger}/run-{uuid.uuid4().hex}"
     save(scanned, run)
-    wanted = [r.kind for r in rules]
+    # Ranks and kinds are those of the wanted rules, whatever scan found them.
+    rank = F.array_position(todo, F.col("f.rule")).cast("int") - 1
+    kind = F.element_at(F.array(*[F.lit(r.kind) for r in rules]), rank + 1)
     rows = (spark.read.schema(LEDGER).parquet(f"{ledger}/*").where(F.size("findings") > 0)
             .select("blob", F.explode("findings").alias("f"))
-            .where(F.col("f.kind").isin(wanted)))
-    by_blob = rows.groupBy("blob").agg(F.array_sort(F.collect_set(
-        F.struct("f.start", "f.rank", "f.end", "f.kind"))).alias("_found"))
+            .where(F.col("f.rule").isin([r.key for r in rules]))
+            .select("blob", F.struct("f.start", rank.alias("rank"), "f.end", kind.alias("kind")).alias("f")))
+    by_blob = rows.groupBy("blob").agg(F.array_sort(F.collect_set("f")).alias("_found"))
     rows = versions.select(F.struct("*").alias("_row"), F.sha2(text, 256).alias("blob")).join(by_blob, "blob", "left")
     own = [F.col(f"_row.`{c}`").alias(c) for c in versions.columns if c.lower() not in ("blob", "findings")]
     return rows.select(*own, "blob", F.coalesce("_found", F.array().cast(FINDINGS)).alias("findings"))

@@ -292,6 +292,28 @@ def test_secret_ledger_scans_only_what_is_new(spark, tmp_path):
     assert {tuple(r.rules) for r in again} == {("hex@2",)} and len(again) == 3
 
 
+def test_ledger_gives_the_wanted_versions_only(spark):
+    ledger = f"{secret_scan.scratch_path(spark, 'ledger')}"
+    rows = cases.documents(spark, [(1, "0af9" * 8 + " " + "0af9" * 12), (2, "AKIA" + "B" * 16)])
+    base = secret_scan.RULES
+    newer = tuple(r._replace(version=2, least=40) if r.kind == "hex" else r for r in base)
+
+    def found(rules):
+        made = secret_scan.scan_history(rows, "text", ledger, rules).orderBy("doc_id").collect()
+        return [[(f.start, f.rank, f.end, f.kind) for f in r.findings] for r in made]
+
+    old = [[(0, 2, 32, "hex"), (33, 2, 81, "hex")], [(0, 1, 20, "access")]]
+    assert found(base) == old
+    assert found(newer) == [[(33, 2, 81, "hex")], old[1]]
+    assert found(base) == old
+    assert found(newer[::-1]) == [[(33, 4, 81, "hex")], [(0, 5, 20, "access")]]
+    ledger += "-of-kinds"
+    (rows.selectExpr("sha2(text, 256) as blob", f"array({', '.join(repr(r.key) for r in base)}) as rules",
+                     "array(named_struct('start', 0L, 'end', 9L, 'rank', 2, 'kind', 'hex')) as findings")
+     .write.parquet(f"{ledger}/run-0"))
+    assert found(base) == old
+
+
 def test_redaction(docs):
     out = secret_scan.without_secrets(docs)
     assert out.dtypes == docs.dtypes and out.count() == docs.count()
