@@ -157,7 +157,47 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM (SELECT doc_id, min(least) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
 
 
+COLLOCATIONS = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS tongue, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+places AS (
+    SELECT tongue, w, unnest(range(1, len(w) + 1)) AS i
+    FROM (SELECT tongue, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces)),
+totals AS (SELECT tongue, count(*) AS n FROM places GROUP BY tongue),
+often AS (
+    SELECT tongue, w[i:i + size - 1] AS p, count(*) AS f FROM places, range(1, 6) AS sizes(size)
+    WHERE i + size - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+    SELECT c.tongue, c.p, c.f AS a, k, h.f AS l, t.f AS r, n, (CAST(1000 AS HUGEINT) * c.f * n) // (CAST(h.f AS HUGEINT) * t.f) AS score
+    FROM (SELECT *, unnest(range(1, len(p))) AS k FROM often) c JOIN totals USING (tongue)
+    JOIN often h ON h.tongue = c.tongue AND h.p = c.p[1:k] JOIN often t ON t.tongue = c.tongue AND t.p = c.p[k + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY tongue, p ORDER BY score, k) = 1),
+inner_parts AS (
+    SELECT DISTINCT tongue, p[i:j] AS part, f FROM (
+        SELECT *, unnest(range(i + 1, len(p) + 1)) AS j FROM (SELECT *, unnest(range(1, len(p))) AS i FROM often))
+    WHERE j - i + 1 < len(p))
+SELECT tongue AS lang, row_number() OVER (PARTITION BY tongue ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+       array_to_string(p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM lowest z WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts x WHERE x.tongue = z.tongue AND x.part = z.p AND 100 * x.f >= 100 * z.a)
+QUALIFY rank <= 2000"""
+
+TOP_K = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+      FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+QUALIFY rank <= 5"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_collocations": COLLOCATIONS,
+    "op13_topk_threshold": TOP_K,
     "op2_substring_doubling": SUBSTRINGS,
     "op4_jaccard_tiles": JACCARD,
     "op5_secret_ledger": SECRETS,

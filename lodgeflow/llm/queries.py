@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (fingerprints, jaccard_join, license_scan, packing, quality_crf, quality_rules, secret_scan,
-               sentencepieces, substring_dedup, suffix_dedup)
+from . import (collocations, fingerprints, jaccard_join, license_scan, packing, quality_crf, quality_rules, secret_scan,
+               sentencepieces, substring_dedup, suffix_dedup, topk_search, whitening)
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,20 @@ def op10_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         {c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator's deviation is a decimal; here a long, null where 64 bits do not hold it."""
+    return (whitening.whiten(table(spark, sf_dir, "embeddings"))
+            .withColumn("deviation", F.col("deviation").try_cast("long")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_topk_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_substring_doubling": op2_substring_doubling,
@@ -69,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_intervals": op8_suffix_intervals,
     "op9_pack_binary": op9_pack_binary,
     "op10_quality_divergence": op10_quality_divergence,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
+    "op13_topk_threshold": op13_topk_threshold,
 }

@@ -13,5 +13,6 @@ from ..helpers import assert_same
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL_SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL_SF}/{table}.parquet')")
     assert_same(QUERIES[name](spark, SMALL_SF), con, ORACLE[name])
