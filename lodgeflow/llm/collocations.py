@@ -44,7 +44,7 @@ KEEP = 2000
 #: Suffixes of a bucket; a word in more places than half of that is hot.
 BUCKET = 1_000_000
 #: Suffixes that a task merges at once.
-MERGED = 2_000_000
+MERGED = 500_000
 #: Bits of the maps of frequent and of hot words.
 MAP_BITS = 1 << 25
 WORD_BITS = 1 << 15
@@ -93,16 +93,35 @@ def texts_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array
     return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(taken)])
 
 
+def differing(w: Words, like: np.ndarray) -> np.ndarray:
+    """Words that differ, in language or bytes, from the word at ``like``."""
+    lengths = w.ends - w.starts
+    out = (lengths != lengths[like]) | (w.lang != w.lang[like])
+    same = np.flatnonzero(~out)
+    if len(same):
+        lengths = lengths[same]
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(lengths.sum()) - np.repeat(first, lengths)
+        wrong = (w.data[np.repeat(w.starts[same], lengths) + place]
+                 != w.data[np.repeat(w.starts[like[same]], lengths) + place])
+        out[same] = np.add.reduceat(wrong, first) > 0
+    return out
+
+
 def count_words(seed: int):
     schema = arrow_schema(WORDS)
 
     def run(batches):
         hasher = Hasher(seed)
-        for batch in slices(batches):
+        for batch in slices(batches, 4 << 20):
             w = Words(hasher, batch, seed)
-            codes, first, n = np.unique(w.codes, return_index=True, return_counts=True)
-            langs = pa.array(w.langs, pa.string()).take(pa.array(w.lang[first]))
-            words = texts_of(w.data, w.starts[first], w.ends[first]).cast(pa.string())
+            codes, at, of, n = np.unique(w.codes, return_index=True, return_inverse=True, return_counts=True)
+            # A second word with a code is told as well, so that it is seen.
+            apart = np.flatnonzero(differing(w, at[of]))
+            at, codes = np.append(at, apart), np.append(codes, w.codes[apart])
+            n = np.append(n, np.ones(len(apart), n.dtype))
+            langs = pa.array(w.langs, pa.string()).take(pa.array(w.lang[at]))
+            words = texts_of(w.data, w.starts[at], w.ends[at]).cast(pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), langs, words, pa.array(n)], schema=schema)
     return run
 
@@ -189,7 +208,7 @@ def route_suffixes(seed: int, frequent: bytes, hot: bytes, buckets: int, longest
     def run(batches):
         hasher, kept, n = Hasher(seed), [], 0
         frequent_bits, hot_bits = np.frombuffer(frequent, np.uint8), np.frombuffer(hot, np.uint8)
-        for batch in slices(batches):
+        for batch in slices(batches, 2 << 20):
             w = Words(hasher, batch, seed)
             codes = np.where(in_map(frequent_bits, w.codes), w.codes, np.uint64(0))
             columns, lengths = suffix_columns(codes, w.piece, longest)
