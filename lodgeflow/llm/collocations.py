@@ -17,9 +17,10 @@ the sort runs on buckets of bounded size:
 * Equal suffixes of a task are merged into one with a weight before they are shuffled.
 
 Words are 64-bit codes of language and word.  The word counts show whether two share a code; if so,
-the work starts again with other codes.  Frequent and hot words are known to the tasks as bit maps of
-a fixed size.  A further bit that is set by chance keeps a suffix longer or routes it deeper; counts
-do not change.
+the work starts again with other codes.  Up to ``RANKED`` frequent words are known to the tasks by
+rank, and suffixes travel as ranks.  More than that are known as bit maps of a fixed size, for
+frequent and for hot words, and suffixes travel as codes; a bit that is set by chance keeps a suffix
+longer or routes it deeper, and counts do not change.
 
 Defined results: null texts are empty, a null ``lang`` counts as ``und``; empty texts and
 pieces have no words; repeated rows count each time; an empty table gives an empty result;
@@ -45,6 +46,8 @@ KEEP = 2000
 BUCKET = 1_000_000
 #: Suffixes that a task merges at once.
 MERGED = 500_000
+#: Frequent words that are sent to the tasks by rank (16 bytes each).
+RANKED = 2_000_000
 #: Bits of the maps of frequent and of hot words.
 MAP_BITS = 1 << 25
 WORD_BITS = 1 << 15
@@ -147,9 +150,56 @@ def bit_map(words: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def in_map(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+def in_map(bits: bytes, codes: np.ndarray) -> np.ndarray:
     place = codes % np.uint64(MAP_BITS)
-    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    found = np.frombuffer(bits, np.uint8)[(place >> np.uint64(3)).astype(np.int64)]
+    return (found >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+class Ranked:
+    """Frequent words by rank, from 1, the most frequent first; 0 is any other word."""
+
+    def __init__(self, codes: np.ndarray, hot: int):
+        self.hot_words, self.by_rank = hot, np.append(np.uint64(0), codes)
+        self.ranks = np.argsort(codes).astype(np.uint32) + np.uint32(1)
+        self.sorted = codes[self.ranks - 1]
+
+    def kept(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.sorted):
+            return np.zeros(len(codes), np.uint32)
+        at = np.minimum(np.searchsorted(self.sorted, codes), len(self.sorted) - 1)
+        return np.where(self.sorted[at] == codes, self.ranks[at], np.uint32(0))
+
+    def hot(self, values: np.ndarray) -> np.ndarray:
+        return (values > 0) & (values <= self.hot_words)
+
+    def codes(self, values: np.ndarray) -> np.ndarray:
+        return self.by_rank[values]
+
+
+class Mapped:
+    """Frequent and hot words by bit maps; frequent words are their codes, 0 is any other."""
+
+    def __init__(self, frequent: bytes, hot: bytes):
+        self.frequent_bits, self.hot_bits = frequent, hot
+
+    def kept(self, codes: np.ndarray) -> np.ndarray:
+        return np.where(in_map(self.frequent_bits, codes), codes, np.uint64(0))
+
+    def hot(self, values: np.ndarray) -> np.ndarray:
+        return (values > 0) & in_map(self.hot_bits, values)
+
+    def codes(self, values: np.ndarray) -> np.ndarray:
+        return values
+
+
+def lexicon(words: DataFrame, least: int, bucket: int) -> Ranked | Mapped:
+    frequent, hot = words.where(F.col("n") >= least), words.where(F.col("n") > bucket // 2)
+    first = frequent.select("code").limit(RANKED + 1).count()
+    if first > RANKED:
+        return Mapped(bit_map(frequent), bit_map(hot))
+    codes = frequent.orderBy(F.col("n").desc(), "code").select("code").toArrow()["code"].to_numpy().view(np.uint64)
+    return Ranked(codes, hot.count())
 
 
 # --- suffixes and their buckets -------------------------------------------
@@ -157,7 +207,7 @@ def in_map(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
 def suffix_columns(codes: np.ndarray, piece: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """Words 0 to longest - 1 of each suffix (rows by depth), 0 behind its end; and its length."""
     n = len(codes)
-    columns = np.zeros((longest, n), np.uint64)
+    columns = np.zeros((longest, n), codes.dtype)
     there = codes > 0
     lengths = np.zeros(n, np.uint8)
     for k in range(min(longest, n)):
@@ -176,20 +226,28 @@ def routes(columns: np.ndarray, lengths: np.ndarray, hot: np.ndarray) -> tuple[n
     going = np.ones(columns.shape[1], bool)
     for k, column in enumerate(columns):
         there = k < lengths
-        whole = np.where(there, mix(whole ^ column) * np.uint64(2 * k + 3), whole)
+        whole = np.where(there, mix(whole ^ column.astype(np.uint64)) * np.uint64(2 * k + 3), whole)
         key = np.where(there & (going | (k < 2)), whole, key)
         going &= hot[k]
     return mix(key), whole
 
 
-def route_suffixes(seed: int, frequent: bytes, hot: bytes, buckets: int, longest: int):
+def planes(values: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second bytes, and so on: high bytes shrink well."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def of_planes(data: bytes, dtype: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(dtype.itemsize, -1).T).view(dtype).ravel()
+
+
+def route_suffixes(seed: int, known: Ranked | Mapped, buckets: int, longest: int):
     schema = arrow_schema(BLOCKS)
 
-    def blocks(kept: list[tuple[np.ndarray, np.ndarray]], hot_bits: np.ndarray):
+    def blocks(kept: list[tuple[np.ndarray, np.ndarray]]):
         columns = np.concatenate([c for c, _ in kept], axis=1)
         lengths = np.concatenate([n for _, n in kept])
-        is_hot = np.array([in_map(hot_bits, c) & (c > 0) for c in columns])
-        key, whole = routes(columns, lengths, is_hot)
+        key, whole = routes(columns, lengths, known.hot(columns))
         bucket = (key % np.uint64(buckets)).astype(np.int32)
         # Equal suffixes stand together by bucket and hash; where words differ, they stay apart.
         order = np.lexsort((whole, bucket))
@@ -203,23 +261,21 @@ def route_suffixes(seed: int, frequent: bytes, hot: bytes, buckets: int, longest
         for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
             yield pa.RecordBatch.from_pylist([{
                 "bucket": int(bucket[a]), "places": int(b - a), "lengths": lengths[a:b].tobytes(), "weights": weights[a:b].tobytes(),
-                "codes": b"".join(c[a:b][lengths[a:b] > k].tobytes() for k, c in enumerate(columns))}], schema)
+                "codes": planes(np.concatenate([c[a:b][lengths[a:b] > k] for k, c in enumerate(columns)]))}], schema)
 
     def run(batches):
         hasher, kept, n = Hasher(seed), [], 0
-        frequent_bits, hot_bits = np.frombuffer(frequent, np.uint8), np.frombuffer(hot, np.uint8)
         for batch in slices(batches, 2 << 20):
             w = Words(hasher, batch, seed)
-            codes = np.where(in_map(frequent_bits, w.codes), w.codes, np.uint64(0))
-            columns, lengths = suffix_columns(codes, w.piece, longest)
+            columns, lengths = suffix_columns(known.kept(w.codes), w.piece, longest)
             take = lengths >= 2
             kept.append((columns[:, take], lengths[take]))
             n += int(take.sum())
             if n >= MERGED:
-                yield from blocks(kept, hot_bits)
+                yield from blocks(kept)
                 kept, n = [], 0
         if n:
-            yield from blocks(kept, hot_bits)
+            yield from blocks(kept)
     return run
 
 
@@ -261,28 +317,27 @@ def equal_partitions(columns: np.ndarray, lengths: np.ndarray, weights: np.ndarr
                 todo.append((rows, depth, False, False))
 
 
-def sort_bucket(hot: bytes, least: int, longest: int):
+def sort_bucket(known: Ranked | Mapped, least: int, longest: int):
     schema = arrow_schema(PHRASES)
 
     def run(table: pa.Table) -> pa.Table:
-        hot_bits = np.frombuffer(hot, np.uint8)
+        dtype = known.kept(np.empty(0, np.uint64)).dtype
         parts = {name: [x.as_py() for x in table[name]] for name in ("codes", "lengths", "weights")}
         lengths = np.frombuffer(b"".join(parts["lengths"]), np.uint8)
         weights = np.frombuffer(b"".join(parts["weights"]), np.uint32).astype(np.int64)
-        columns = np.zeros((longest, len(lengths)), np.uint64)
+        columns = np.zeros((longest, len(lengths)), dtype)
         at = 0
         for codes, own in zip(parts["codes"], parts["lengths"]):
-            values, own = np.frombuffer(codes, np.uint64), np.frombuffer(own, np.uint8)
+            values, own = of_planes(codes, dtype), np.frombuffer(own, np.uint8)
             done = 0
             for k in range(longest):
                 there = np.flatnonzero(own > k)
                 columns[k, at + there] = values[done:done + len(there)]
                 done += len(there)
             at += len(own)
-        is_hot = np.array([in_map(hot_bits, c) & (c > 0) for c in columns])
         phrases, sizes = [], []
-        for row, depth, size in equal_partitions(columns, lengths, weights, is_hot, least):
-            phrases.append(columns[:depth, row].view(np.int64).tolist())
+        for row, depth, size in equal_partitions(columns, lengths, weights, known.hot(columns), least):
+            phrases.append(known.codes(columns[:depth, row]).view(np.int64).tolist())
             sizes.append(size)
         return pa.Table.from_arrays([pa.array(phrases, schema.field("phrase").type), pa.array(sizes, pa.int64())], schema=schema)
     return run
@@ -291,11 +346,10 @@ def sort_bucket(hot: bytes, least: int, longest: int):
 def frequent_phrases(documents: DataFrame, words: DataFrame, seed: int, total: int, least: int, longest: int,
                      bucket: int) -> DataFrame:
     """(phrase, n) of each phrase of 2 to ``longest`` words with at least ``least`` places."""
-    frequent = bit_map(words.where(F.col("n") >= least))
-    hot = bit_map(words.where(F.col("n") > bucket // 2))
+    known = lexicon(words, least, bucket)
     buckets = max(1, -(-total // bucket))
-    routed = documents.mapInArrow(route_suffixes(seed, frequent, hot, buckets, longest), BLOCKS)
-    found = routed.groupBy("bucket").applyInArrow(sort_bucket(hot, least, longest), PHRASES)
+    routed = documents.mapInArrow(route_suffixes(seed, known, buckets, longest), BLOCKS)
+    found = routed.groupBy("bucket").applyInArrow(sort_bucket(known, least, longest), PHRASES)
     return found.groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 

@@ -160,8 +160,11 @@ def phrase_rows():
     return rows
 
 
-@pytest.mark.parametrize("least,longest,keep,bucket", [(3, 5, 2000, 1_000_000), (3, 5, 2000, 60), (2, 4, 7, 400), (5, 2, None, 30)])
-def test_collocations(spark, least, longest, keep, bucket, monkeypatch):
+@pytest.mark.parametrize("least,longest,keep,bucket,ranked", [
+    (3, 5, 2000, 1_000_000, 99), (3, 5, 2000, 60, 10**6), (3, 5, 2000, 60, 0), (2, 4, 7, 400, 10**6), (5, 2, None, 30, 0)])
+def test_collocations(spark, least, longest, keep, bucket, ranked, monkeypatch):
+    """Frequent words by rank, and beyond that bound by bit maps."""
+    monkeypatch.setattr(collocations, "RANKED", ranked)
     monkeypatch.setattr(collocations, "MERGED", 500)
     rows = [(g, t) for g, t in phrase_rows() if len(t or "") < 50_000]
     docs = spark.createDataFrame([(k, t, g, "s", 1, 2, "w") for k, (g, t) in enumerate(rows)],
