@@ -78,11 +78,11 @@ def top5_neighbourhoods(star: Star) -> DataFrame:
 def listing_types_in_top5(star: Star) -> DataFrame:
     """N-06 (view ``temp1``): DISTINCT (neighbourhood, property_type,
     room_type, accomodates) of fact NATURAL JOIN dim_listing, neighbourhood
-    IN the top 5.  Every dim_listing row comes from the same listing rows as
-    the fact, so the join only drops NULL listing ids."""
+    IN the top 5.  Only distinct types leave the join, so it is a semi-join with
+    the fact on listing_id: no pair rows are made."""
     top = top5_neighbourhoods(star).select("listing_neighbourhood")
-    dl = star.dim_listing.where(F.col("listing_id").isNotNull())
-    return (dl.join(top, "listing_neighbourhood", "left_semi")
+    dl = star.dim_listing.join(top, "listing_neighbourhood", "left_semi")
+    return (dl.join(star.fact.select("listing_id"), "listing_id", "left_semi")
               .select("listing_neighbourhood", "property_type", "room_type", "accomodates")
               .distinct())
 

@@ -19,12 +19,25 @@ from ..sources import analogue
 from ..sources.tables import read_table
 from . import analysis as A
 from . import marts as M
-from .driver_star import analogue_layers, analogue_star
-from .warehouse import lga_joined, listing_final
+from ..sources.storage import written_once
+from .driver_star import analogue_layers, analogue_star, shared_star
+from .warehouse import Star, lga_joined, listing_final
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+NB = M.NEIGHBOURHOOD_KEYS
+# Columns of the enriched listings that a query's branches read.
+COUNTED = ["listing_id", "price", "has_availability", "availability_30", "review_scores_rating"]
+HOSTED = ["listing_id", "host_id", "host_lga", "host_is_superhost"]
+EARNED = ["listing_id", "price", "has_availability", "availability_30"]
+
+
+def star_with(spark, sf, *columns) -> Star:
+    """One written build of the listings with the named columns, each once."""
+    return shared_star(spark, sf, list(dict.fromkeys(columns)))
+
+
 def _bigint(*cols):
     return {c: F.col(c).cast("bigint") for c in cols}
 
@@ -48,7 +61,8 @@ def q_lga_joined(spark, sf):
 
 
 def q_dim_lga_copy(spark, sf):
-    return analogue_star(spark, sf).dim_lga_code.select("*")
+    """CREATE TABLE .. AS SELECT * of the joined areas: a table of its own, read back (B-12)."""
+    return written_once(analogue_layers(spark, sf)["lga_joined"], "dim_lga_code")
 
 
 def q_dim_lga_suburb(spark, sf):
@@ -76,7 +90,7 @@ def q_enrich_host_by_suburb(spark, sf):
 
 def q_natural_join_one_key(spark, sf):
     """Rows and listings of fact NATURAL JOIN dim_listing per neighbourhood."""
-    star = analogue_star(spark, sf)
+    star = star_with(spark, sf, "listing_id", *NB)
     w = M.listing_weights(star.dim_listing, ["listing_neighbourhood"])
     return (natural_join(star.fact.select("listing_id"), w)
             .groupBy("listing_neighbourhood")
@@ -86,7 +100,7 @@ def q_natural_join_one_key(spark, sf):
 def q_natural_join_two_keys_null(spark, sf):
     """COUNT(DISTINCT host_id) of fact NATURAL JOIN dim_host NATURAL JOIN
     dim_listing per neighbourhood (two-key join, NULL host_lga drops)."""
-    star = analogue_star(spark, sf)
+    star = star_with(spark, sf, *HOSTED, *NB)
     h = M.listing_hosts(star, ["listing_neighbourhood"], by_month=False)
     return h.select("listing_neighbourhood", F.col("distinct_host_id").alias("distinct_hosts"))
 
@@ -115,12 +129,12 @@ def q_fanout_join(spark, sf):
 # --- marts ---------------------------------------------------------------
 
 def q_listing_mart_neighbourhood(spark, sf):
-    return M.with_doubles(M.neighbourhood_mart(analogue_star(spark, sf)),
+    return M.with_doubles(M.neighbourhood_mart(star_with(spark, sf, *COUNTED, *HOSTED, *NB)),
                           M.DECIMAL_MART_COLUMNS).withColumns(_bigint("total_num_stay"))
 
 
 def q_listing_mart_property(spark, sf):
-    return M.with_doubles(M.property_mart(analogue_star(spark, sf)),
+    return M.with_doubles(M.property_mart(star_with(spark, sf, *COUNTED, *HOSTED, *M.PROPERTY_KEYS)),
                           M.DECIMAL_MART_COLUMNS).withColumns(_bigint("total_num_stay"))
 
 
@@ -132,18 +146,15 @@ def q_host_mart(spark, sf):
 
 # --- metric pieces -------------------------------------------------------
 
-NB = M.NEIGHBOURHOOD_KEYS
-
-
 def q_price_stats(spark, sf):
     """MIN/MAX/MEDIAN/AVG of available prices per neighbourhood (all months)."""
-    star = analogue_star(spark, sf)
+    star = star_with(spark, sf, "listing_id", "price", "has_availability", *NB)
     w = M.listing_weights(star.dim_listing, NB)
     j = star.fact.where(M.avail()).select("listing_id", "price").join(w, "listing_id", "inner")
     price, wt = F.col("price"), F.col("w")
     agg = j.groupBy(*NB).agg(
         F.min(price).alias("min_price"), F.max(price).alias("max_price"),
-        F.sum(price * wt).cast(M.DEC0).alias("psum"),
+        F.sum(price.cast(M.DEC0) * wt).cast(M.DEC0).alias("psum"),
         F.sum(F.when(price.isNotNull(), wt)).alias("pcnt"))
     med = M.weighted_median(j, NB, "price", "w")
     return join_null_safe(agg, med, NB, "left").select(
@@ -156,16 +167,16 @@ def _counts_with_lags(star):
 
 
 def q_avail_unavail_counts(spark, sf):
-    c = M.listing_counts(analogue_star(spark, sf), NB)
+    c = M.listing_counts(star_with(spark, sf, *COUNTED, *NB), NB)
     return c.select(*NB, "year_month", "total_count", "avail_count", "unavail_count")
 
 
 def q_distinct_hosts(spark, sf):
-    return M.listing_hosts(analogue_star(spark, sf), NB)
+    return M.listing_hosts(star_with(spark, sf, *HOSTED, *NB), NB)
 
 
 def q_lag_counts(spark, sf):
-    c = _counts_with_lags(analogue_star(spark, sf))
+    c = _counts_with_lags(star_with(spark, sf, *COUNTED, *NB))
     pos = lambda x: F.when(F.col(x) > 0, F.col(x))  # noqa: E731 - group absent -> NULL
     return c.select(*NB, "year_month", "total_count", "lag_total_count",
                     pos("avail_count").alias("avail_count"), "lag_avail_count",
@@ -173,7 +184,7 @@ def q_lag_counts(spark, sf):
 
 
 def q_pct_change_nullif(spark, sf):
-    c = _counts_with_lags(analogue_star(spark, sf))
+    c = _counts_with_lags(star_with(spark, sf, *COUNTED, *NB))
     return c.select(*NB, "year_month",
                     as_double(F.when(F.col("avail_count") > 0,
                                      pct_change("avail_count", "lag_avail_count"))).alias("active_pct_change"),
@@ -182,14 +193,14 @@ def q_pct_change_nullif(spark, sf):
 
 
 def q_estimated_revenue(spark, sf):
-    c = M.listing_counts(analogue_star(spark, sf), NB).where(F.col("avail_count") > 0)
+    c = M.listing_counts(star_with(spark, sf, *COUNTED, *NB), NB).where(F.col("avail_count") > 0)
     return c.select(*NB, "year_month", "total_num_stay", "total_rev").withColumns(
         _bigint("total_num_stay", "total_rev"))
 
 
 def q_multi_key_sort(spark, sf):
     keys = M.PROPERTY_KEYS
-    c = M.listing_counts(analogue_star(spark, sf), keys)
+    c = M.listing_counts(star_with(spark, sf, *COUNTED, *keys), keys)
     return (c.select(*keys, "year_month", "total_count")
              .orderBy(*[F.col(k).asc_nulls_last() for k in keys], "year_month"))
 
@@ -234,25 +245,25 @@ def q_rounding_casts(spark, sf):
 # --- analysis ------------------------------------------------------------
 
 def q1_best_neighbourhood(spark, sf):
-    return A.best_neighbourhood(analogue_star(spark, sf)).withColumns(_bigint("total_rev"))
+    return A.best_neighbourhood(star_with(spark, sf, *EARNED, *NB)).withColumns(_bigint("total_rev"))
 
 
 def q1_worst_neighbourhood(spark, sf):
-    return A.worst_neighbourhood(analogue_star(spark, sf)).withColumns(_bigint("total_rev"))
+    return A.worst_neighbourhood(star_with(spark, sf, *EARNED, *NB)).withColumns(_bigint("total_rev"))
 
 
 def q1_best_lga_population(spark, sf):
-    star = analogue_star(spark, sf)
+    star = star_with(spark, sf, *EARNED, "listing_lga", *NB)
     return A.lga_population(star, A.best_neighbourhood(star).select("listing_neighbourhood"))
 
 
 def q1_worst_lga_population(spark, sf):
-    star = analogue_star(spark, sf)
+    star = star_with(spark, sf, *EARNED, "listing_lga", *NB)
     return A.lga_population(star, A.worst_neighbourhood(star).select("listing_neighbourhood"))
 
 
 #: The area that the literal-filter query asks for.
-ASKED_LGA = "FRANCE"
+ASKED_LGA = "NATION_3"
 
 
 def q1_scalar_subquery_lga(spark, sf, name: str = ASKED_LGA):
@@ -261,16 +272,16 @@ def q1_scalar_subquery_lga(spark, sf, name: str = ASKED_LGA):
 
 
 def q2_top5_neighbourhoods(spark, sf):
-    return A.top5_neighbourhoods(analogue_star(spark, sf)).withColumn(
+    return A.top5_neighbourhoods(star_with(spark, sf, *EARNED, *NB)).withColumn(
         "avg_est_price", as_double("avg_est_price"))
 
 
 def q2_listing_types_semi(spark, sf):
-    return A.listing_types_in_top5(analogue_star(spark, sf))
+    return A.listing_types_in_top5(star_with(spark, sf, *EARNED, *NB, *M.PROPERTY_KEYS))
 
 
 def q2_modal_types(spark, sf):
-    return A.modal_listing_types(analogue_star(spark, sf))
+    return A.modal_listing_types(star_with(spark, sf, *EARNED, *NB, *M.PROPERTY_KEYS))
 
 
 def q3_same_lga(spark, sf):
@@ -282,15 +293,15 @@ def q3_diff_lga(spark, sf):
 
 
 def q4_revenue_vs_mortgage(spark, sf):
-    return A.revenue_vs_mortgage(analogue_star(spark, sf)).withColumns(_bigint("total_rev"))
+    return A.revenue_vs_mortgage(star_with(spark, sf, *EARNED, "host_id", "listing_lga")).withColumns(_bigint("total_rev"))
 
 
 def q4_can_afford(spark, sf):
-    return A.afford_counts(analogue_star(spark, sf), can=True)
+    return A.afford_counts(star_with(spark, sf, *EARNED, "host_id", "listing_lga"), can=True)
 
 
 def q4_cannot_afford(spark, sf):
-    return A.afford_counts(analogue_star(spark, sf), can=False)
+    return A.afford_counts(star_with(spark, sf, *EARNED, "host_id", "listing_lga"), can=False)
 
 
 QUERIES: dict[str, Query] = {

@@ -1,9 +1,11 @@
 """The star schema over the driver's parquet tables, as lazy plans (see
 ``sources/analogue.py`` for the mapping).
 
-Nothing is run or written when a star is made: each query plans the tables it
-needs from the raw scans, so a changed input is always seen, whatever store
-it is in.  Written layers are ``plans/pipeline.run_pipeline``'s work.
+Each query plans its tables from the raw scans, so a changed input is always seen, whatever
+store it is in.  ``analogue_star`` is lazy, for queries that read the enriched listings once.
+``shared_star`` is for queries whose branches read them several times: the listings are joined once and
+written, with the columns that the query needs, to the session's shared folder, and
+every branch reads that table.  Written layers are ``plans/pipeline.run_pipeline``'s work.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import analogue
+from ..sources.storage import written_once
 from .warehouse import Star, build_star, lga_joined, listing_final, merge1
 
 
@@ -30,3 +33,10 @@ def analogue_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def analogue_star(spark: SparkSession, sf_dir: str) -> Star:
     layers = analogue_layers(spark, sf_dir)
     return build_star(layers["listing_final"], layers["lga_joined"], layers["lga_suburb"])
+
+
+def shared_star(spark: SparkSession, sf_dir: str, columns: list[str]) -> Star:
+    """The star over one written build of the enriched listings: the month and ``columns`` of them."""
+    layers = analogue_layers(spark, sf_dir)
+    final = layers["listing_final"].select("year_month", *columns)
+    return build_star(written_once(final, "listing_final"), layers["lga_joined"], layers["lga_suburb"])

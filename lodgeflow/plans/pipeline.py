@@ -1,7 +1,7 @@
 """End-to-end batch pipeline: raw CSV -> staging -> warehouse -> marts.
 
 Stages run in the reference's order (listing, census, LGA, final table,
-warehouse, marts).  Every table is replaced whole (``overwrite``), so a rerun
+warehouse, marts).  Every table is replaced whole, by a swap of folders, so a rerun
 is idempotent, and each layer is read back from its written files: lineage
 is cut at every layer and a lost executor recomputes from files, not from
 the raw CSVs.  The fact is written partitioned by ``year_month`` so month
@@ -14,6 +14,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.storage import replace_table
 from . import marts as M
 from .staging import staging_rejects, staging_tables
 from .warehouse import (Star, dim_host, dim_listing, dim_lga_suburb, fact_listing, lga_joined,
@@ -24,7 +25,8 @@ LAYERS = ("staging", "datawarehouse", "datamart")
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 cluster_by: list[str] | None = None) -> DataFrame:
-    """K-01: CREATE OR REPLACE TABLE .. AS: overwrite the whole table, read it back.
+    """K-01: CREATE OR REPLACE TABLE .. AS: the whole table is written beside the old one and takes
+    its place when it is complete (``sources/storage.py``), then read back.
 
     A partitioned table is first range-partitioned on (partition columns,
     ``cluster_by``): each task then writes a contiguous key range -- about one
@@ -33,11 +35,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     ``cluster_by`` become selective.  AQE sizes the ranges."""
     if partition_by:
         df = df.repartitionByRange(*partition_by, *(cluster_by or []))
-    # static: partitions that the new table lacks go, whatever the session's overwrite mode
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    replace_table(df.sparkSession, path, w.parquet)
     return df.sparkSession.read.parquet(path)
 
 

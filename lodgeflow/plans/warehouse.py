@@ -54,20 +54,23 @@ def listing_final(m1: DataFrame, host_lookup: DataFrame, lookup_key: str = "subu
     return lookup_join(m1, lk, "host_neighbourhood", lookup_key, {"lga_code": "host_lga"})
 
 
+def _there(final: DataFrame, columns: list[str]) -> list[str]:
+    return [c for c in columns if c in final.columns]
+
+
 def fact_listing(final: DataFrame) -> DataFrame:
-    """B-09."""
-    return final.select(*FACT_COLUMNS)
+    """B-09.  This and the dimensions have those of their columns that ``final`` has."""
+    return final.select(*_there(final, FACT_COLUMNS))
 
 
 def dim_host(final: DataFrame) -> DataFrame:
     """B-10: host attributes of the host's latest month, ties kept."""
-    return latest_with_ties(final, "host_id", "year_month", DIM_HOST_COLUMNS)
+    return latest_with_ties(final, "host_id", "year_month", _there(final, DIM_HOST_COLUMNS))
 
 
 def dim_listing(final: DataFrame) -> DataFrame:
     """B-11: listing attributes of the listing's latest month, ties kept."""
-    cols = DIM_LISTING_BASE + [c for c in REVIEW_COLUMNS if c in final.columns]
-    return latest_with_ties(final, "listing_id", "year_month", cols)
+    return latest_with_ties(final, "listing_id", "year_month", _there(final, DIM_LISTING_BASE + REVIEW_COLUMNS))
 
 
 def dim_lga_suburb(suburb: DataFrame) -> DataFrame:
@@ -78,14 +81,16 @@ def dim_lga_suburb(suburb: DataFrame) -> DataFrame:
 @dataclass
 class Star:
     fact: DataFrame
-    dim_host: DataFrame
-    dim_listing: DataFrame
+    dim_host: DataFrame | None
+    dim_listing: DataFrame | None
     dim_lga_code: DataFrame
     dim_lga_suburb: DataFrame
     listing_final: DataFrame | None = None   # the enriched table the star derives from
 
 
 def build_star(final: DataFrame, joined: DataFrame, suburb: DataFrame) -> Star:
-    return Star(fact=fact_listing(final), dim_host=dim_host(final),
-                dim_listing=dim_listing(final), dim_lga_code=joined,
+    """A dimension whose key ``final`` lacks is None."""
+    return Star(fact=fact_listing(final),
+                dim_host=dim_host(final) if "host_id" in final.columns else None,
+                dim_listing=dim_listing(final) if "listing_id" in final.columns else None, dim_lga_code=joined,
                 dim_lga_suburb=dim_lga_suburb(suburb), listing_final=final)

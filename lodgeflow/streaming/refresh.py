@@ -18,26 +18,12 @@ from pyspark.sql import functions as F
 
 from ..plans.staging import staging_listing_from_raw
 from ..sources import csv_files as C
-
-
-def _hadoop(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
-    return fs.exists(p)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
-    fs.delete(p, True)
+from ..sources.storage import exists, hadoop, remove
 
 
 def _batches(spark: SparkSession, checkpoint: str) -> int:
     """Committed micro-batches, by the checkpoint's own log."""
-    fs, p = _hadoop(spark, f"{checkpoint}/commits")
+    fs, p = hadoop(spark, f"{checkpoint}/commits")
     if not fs.exists(p):
         return 0
     return sum(1 for s in fs.listStatus(p) if s.getPath().getName().isdigit())
@@ -66,8 +52,8 @@ def refresh_listing_staging(spark: SparkSession, src: str, dst: str,
     that was staged from another folder, is refused unless ``full`` is given."""
     checkpoint = checkpoint or dst.rstrip("/") + "_checkpoint"
     manifest = f"{checkpoint}/staged_files"
-    known = spark.read.parquet(manifest) if _exists(spark, manifest) else None
-    if not full and known is None and _exists(spark, dst):
+    known = spark.read.parquet(manifest) if exists(spark, manifest) else None
+    if not full and known is None and exists(spark, dst):
         raise ValueError(f"{dst} exists but {checkpoint} does not describe it; use a full refresh")
     # Listed before the stream starts: what arrives meanwhile counts as new or changed next time.
     now = spark.createDataFrame(_files(spark, src).collect(), FILES)
@@ -77,8 +63,8 @@ def refresh_listing_staging(spark: SparkSession, src: str, dst: str,
         # A known file that changed or went: the whole table is staged anew.
         full = known.drop("src").exceptAll(now).limit(1).count() > 0
     if full:
-        _remove(spark, dst)
-        _remove(spark, checkpoint)
+        remove(spark, dst)
+        remove(spark, checkpoint)
     before = _batches(spark, checkpoint)
     reader = C.csv_reader(spark, C.LISTING_COLUMNS, C.LISTING_GLOB, multiline=multiline, streaming=True)
     if max_files_per_trigger:
