@@ -16,10 +16,13 @@ from ..functions.numeric import as_double, pct_change, ratio6, rounding_int
 from ..functions.text import file_name, month_from_file_name, strip_code_prefix
 from ..operators.joins import join_null_safe, natural_join
 from ..sources import analogue
+from ..sources import csv_files as C
+from ..sources.raw_files import land_all
+from ..sources.storage import written_once
 from ..sources.tables import read_table
 from . import analysis as A
 from . import marts as M
-from ..sources.storage import written_once
+from . import staging as S
 from .driver_star import analogue_layers, analogue_star, shared_star
 from .warehouse import Star, lga_joined, listing_final
 
@@ -42,6 +45,35 @@ def _bigint(*cols):
     return {c: F.col(c).cast("bigint") for c in cols}
 
 
+# --- staging layer, from raw CSV files -----------------------------------
+# Each query lands its dataset, beside one that another pattern takes, as CSV files in the shared
+# folder, and stages it with the positional reader.
+
+def q_staging_listing(spark, sf):
+    raw = land_all(spark, sf, "listing", "code")
+    return S.staging_listing_from_raw(C.raw_listing(spark, raw))
+
+
+def q_staging_census_g01(spark, sf):
+    raw = land_all(spark, sf, "g01", "g02")
+    return S.staging_census_g01_from_raw(C.raw_census_g01(spark, raw))
+
+
+def q_staging_census_g02(spark, sf):
+    raw = land_all(spark, sf, "g02", "g01")
+    return S.staging_census_g02_from_raw(C.raw_census_g02(spark, raw))
+
+
+def q_staging_lga_code(spark, sf):
+    raw = land_all(spark, sf, "code", "suburb")
+    return S.staging_lga_code_from_raw(C.raw_lga_code(spark, raw))
+
+
+def q_staging_lga_suburb(spark, sf):
+    raw = land_all(spark, sf, "suburb", "code")
+    return S.staging_lga_suburb_from_raw(C.raw_lga_suburb(spark, raw))
+
+
 # --- warehouse layer -----------------------------------------------------
 
 def q_fact_listing(spark, sf):
@@ -305,6 +337,11 @@ def q4_cannot_afford(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "staging_listing": q_staging_listing,
+    "staging_census_g01": q_staging_census_g01,
+    "staging_census_g02": q_staging_census_g02,
+    "staging_lga_code": q_staging_lga_code,
+    "staging_lga_suburb": q_staging_lga_suburb,
     "fact_listing": q_fact_listing,
     "dim_host_latest": q_dim_host_latest,
     "dim_listing_latest": q_dim_listing_latest,

@@ -9,11 +9,12 @@ optional double-quote enclosure, day-first dates, four null tokens.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import null_tokens_to_null
+from .storage import hadoop
 
 # Positional column names of each raw file.
 LISTING_COLUMNS = [
@@ -36,12 +37,12 @@ G02_COLUMNS = [
 LGA_CODE_COLUMNS = ["lga_code", "lga_name"]
 LGA_SUBURB_COLUMNS = ["lga_name", "suburb_name"]
 
-# File-name patterns of each raw dataset (globs on the file name).
-LISTING_GLOB = "*_20*.csv"
-G01_GLOB = "*G01*.csv"
-G02_GLOB = "*G02*.csv"
-LGA_CODE_GLOB = "*LGA_CODE.csv"
-LGA_SUBURB_GLOB = "*LGA_SUBURB.csv"
+# Patterns of each raw dataset, which must match a file's whole path below the raw folder.
+LISTING_PATTERN = ".*_20.*[.]csv"
+G01_PATTERN = ".*G01.*[.]csv"
+G02_PATTERN = ".*G02.*[.]csv"
+LGA_CODE_PATTERN = ".*LGA_CODE[.]csv"
+LGA_SUBURB_PATTERN = ".*LGA_SUBURB[.]csv"
 
 DATE_FORMAT = "dd/MM/yyyy"
 
@@ -50,23 +51,34 @@ def text_schema(names: list[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-def csv_reader(spark: SparkSession, names: list[str], glob: str | None = None,
-               multiline: bool = True, streaming: bool = False):
+def csv_reader(spark: SparkSession, names: list[str], multiline: bool = True, streaming: bool = False):
     """A configured (batch or streaming) CSV reader for positional text columns.
 
     ``multiline`` reads newlines inside quoted fields, as the raw format allows
     them; each file is then one split.  Turn it off for files without such fields."""
     r = spark.readStream if streaming else spark.read
-    r = (r.schema(text_schema(names))
-          .option("header", True)
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .option("multiLine", multiline))
-    if glob:
-        # All raw datasets share one folder (tree); the glob picks the files.
-        r = r.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return r
+    return (r.schema(text_schema(names))
+            .option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .option("multiLine", multiline)
+            .option("recursiveFileLookup", True))
+
+
+def raw_folder(spark: SparkSession, path: str) -> str:
+    """The folder below which paths are matched, as file paths spell it: a file's own folder,
+    and of a glob what stands before it."""
+    fs, p = hadoop(spark, path)
+    while any(c in p.getName() for c in "*?[{") or (fs.exists(p) and fs.getFileStatus(p).isFile()):
+        p = p.getParent()
+    return fs.makeQualified(p).toUri().getRawPath().rstrip("/")
+
+
+def in_dataset(spark: SparkSession, path: str, pattern: str, file_path: str = "_metadata.file_path") -> Column:
+    """S-04..S-08: files whose path below ``path`` matches ``pattern`` whole.  All raw datasets share
+    one folder tree; a batch scan tests the path when it lists files and opens no other."""
+    return F.col(file_path).rlike(f"^[^:/]+:(//[^/]*)?\\Q{raw_folder(spark, path)}\\E/(?:{pattern})$")
 
 
 def clean_tokens(df: DataFrame, names: list[str]) -> DataFrame:
@@ -75,29 +87,29 @@ def clean_tokens(df: DataFrame, names: list[str]) -> DataFrame:
                      F.col("_metadata.file_path").alias("file_path"))
 
 
-def read_raw(spark: SparkSession, path: str, names: list[str], glob: str | None,
+def read_raw(spark: SparkSession, path: str, names: list[str], pattern: str,
              multiline: bool = True) -> DataFrame:
     """S-01/S-09/S-10: batch scan; listing the folder again on every call is
     the refresh of S-11."""
-    df = csv_reader(spark, names, glob, multiline).load(path, format="csv")
-    return clean_tokens(df, names)
+    df = csv_reader(spark, names, multiline).load(path, format="csv")
+    return clean_tokens(df.where(in_dataset(spark, path, pattern)), names)
 
 
 def raw_listing(spark, path, multiline=True):
-    return read_raw(spark, path, LISTING_COLUMNS, LISTING_GLOB, multiline)
+    return read_raw(spark, path, LISTING_COLUMNS, LISTING_PATTERN, multiline)
 
 
 def raw_census_g01(spark, path, multiline=True):
-    return read_raw(spark, path, G01_COLUMNS, G01_GLOB, multiline)
+    return read_raw(spark, path, G01_COLUMNS, G01_PATTERN, multiline)
 
 
 def raw_census_g02(spark, path, multiline=True):
-    return read_raw(spark, path, G02_COLUMNS, G02_GLOB, multiline)
+    return read_raw(spark, path, G02_COLUMNS, G02_PATTERN, multiline)
 
 
 def raw_lga_code(spark, path, multiline=True):
-    return read_raw(spark, path, LGA_CODE_COLUMNS, LGA_CODE_GLOB, multiline)
+    return read_raw(spark, path, LGA_CODE_COLUMNS, LGA_CODE_PATTERN, multiline)
 
 
 def raw_lga_suburb(spark, path, multiline=True):
-    return read_raw(spark, path, LGA_SUBURB_COLUMNS, LGA_SUBURB_GLOB, multiline)
+    return read_raw(spark, path, LGA_SUBURB_COLUMNS, LGA_SUBURB_PATTERN, multiline)

@@ -34,8 +34,8 @@ FILES = "path string, length long, modificationTime timestamp"
 
 
 def _files(spark: SparkSession, src: str) -> DataFrame:
-    return (spark.read.format("binaryFile").option("pathGlobFilter", C.LISTING_GLOB)
-            .option("recursiveFileLookup", True).load(src)
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(src)
+            .where(C.in_dataset(spark, src, C.LISTING_PATTERN))
             .select("path", "length", "modificationTime"))
 
 
@@ -66,10 +66,10 @@ def refresh_listing_staging(spark: SparkSession, src: str, dst: str,
         remove(spark, dst)
         remove(spark, checkpoint)
     before = _batches(spark, checkpoint)
-    reader = C.csv_reader(spark, C.LISTING_COLUMNS, C.LISTING_GLOB, multiline=multiline, streaming=True)
+    reader = C.csv_reader(spark, C.LISTING_COLUMNS, multiline=multiline, streaming=True).option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.load(src, format="csv")
+    raw = reader.load(src, format="csv").where(C.in_dataset(spark, src, C.LISTING_PATTERN))
     staged = staging_listing_from_raw(C.clean_tokens(raw, C.LISTING_COLUMNS))
     q = (staged.writeStream.format("parquet")
          .option("path", dst)
