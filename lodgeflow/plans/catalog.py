@@ -22,6 +22,7 @@ from ..sources.storage import written_once
 from ..sources.tables import read_table
 from . import analysis as A
 from . import marts as M
+from . import sql_views as V
 from . import staging as S
 from .driver_star import analogue_layers, analogue_star, shared_star
 from .warehouse import Star, lga_joined, listing_final
@@ -336,6 +337,20 @@ def q4_cannot_afford(spark, sf):
     return A.afford_counts(star_with(spark, sf, *EARNED, "host_id", "listing_lga"), can=False)
 
 
+# --- Spark SQL over temporary views --------------------------------------
+
+def q_sql_cte_in_derived_table(spark, sf):
+    return V.over_views(spark, sf, V.BUSY_MONTHS)
+
+
+def q_sql_lateral_alias(spark, sf):
+    return V.over_views(spark, sf, V.WORTH)
+
+
+def q_sql_group_by_alias(spark, sf):
+    return V.over_views(spark, sf, V.YEARLY).withColumns(_bigint("price_total"))
+
+
 QUERIES: dict[str, Query] = {
     "staging_listing": q_staging_listing,
     "staging_census_g01": q_staging_census_g01,
@@ -381,4 +396,7 @@ QUERIES: dict[str, Query] = {
     "q4_revenue_vs_mortgage": q4_revenue_vs_mortgage,
     "q4_can_afford": q4_can_afford,
     "q4_cannot_afford": q4_cannot_afford,
+    "sql_cte_in_derived_table": q_sql_cte_in_derived_table,
+    "sql_lateral_alias": q_sql_lateral_alias,
+    "sql_group_by_alias": q_sql_group_by_alias,
 }

@@ -3,6 +3,7 @@ line items once."""
 
 import os
 import re
+import signal
 import subprocess
 import sys
 import time
@@ -25,9 +26,11 @@ from lodgeflow.plans.pipeline import write_table
 from lodgeflow.session import build_session
 spark = build_session("local[2]", 2)
 
+mark = sys.argv[3]
+
 def slow(batches):
     for b in batches:
-        print("writing", flush=True)
+        open(mark, "w").close()
         time.sleep(600)
         yield b
 
@@ -40,13 +43,19 @@ def folders(tmp_path):
 
 
 def test_a_killed_rebuild_leaves_the_old_rows(spark, tmp_path):
+    (tmp_path / "tables").mkdir()
+    mark, tmp_path = tmp_path / "mark", tmp_path / "tables"
     path = str(tmp_path / "t")
     write_table(spark.range(5), path)
-    writer = subprocess.Popen([sys.executable, "-c", SLOW_WRITER, ROOT, path], stdout=subprocess.PIPE, text=True)
+    writer = subprocess.Popen([sys.executable, "-c", SLOW_WRITER, ROOT, path, str(mark)], start_new_session=True)
     try:
-        assert writer.stdout.readline().strip() == "writing"
+        for _ in range(240):
+            if mark.exists():
+                break
+            time.sleep(0.5)
+        assert mark.exists() and writer.poll() is None
     finally:
-        writer.kill()
+        os.killpg(writer.pid, signal.SIGKILL)
         writer.wait()
     assert spark.read.parquet(path).count() == 5
     assert len(folders(tmp_path)) == 2              # the unfinished table lies beside it
