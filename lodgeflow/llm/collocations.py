@@ -403,7 +403,7 @@ def collocations(documents: DataFrame, keep: int | None = KEEP, least: int = LEA
              .agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelt")))
     named = named.withColumn("phrase", F.array_join(F.transform("spelt", lambda s: s["word"]), " "))
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = named.withColumn("rank", F.row_number().over(order).cast("long"))
-    if keep is not None:
+    ranked = named.withColumn("rank", F.row_number().over(order))
+    if keep is not None:                # each task keeps so many of a language before they meet
         ranked = ranked.where(F.col("rank") <= keep)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
