@@ -45,8 +45,8 @@ def main():
         rows.append((name, counts, pushed, widest))
     head = list(COUNT) + ["scans with pushed filters", "widest scan (columns)"]
     out = ["# Physical plans of the registered queries", "",
-           f"Initial plans (before AQE, broadcasts off) at `{sf}`, written by `explain_plans.py`. Every",
-           "query plans from the raw tables, staging joins included.", "",
+           f"Initial plans (before AQE, broadcasts off) at `{sf}`, written by `explain_plans.py`. A query",
+           "whose branches share the listings writes them once while it is made; its plan here reads that table.", "",
            "| query | " + " | ".join(head) + " |", "|---" * (len(head) + 1) + "|"]
     for name, c, pushed, widest in rows:
         out.append(f"| {name} | " + " | ".join(str(c[k]) for k in COUNT) + f" | {pushed} | {widest} |")
