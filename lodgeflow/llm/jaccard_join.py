@@ -9,14 +9,17 @@ A posting list is cut into tiles by size band, since sets at the threshold are o
 and long lists further into blocks.  In a tile, bitmaps of hashed shingles are compared first:
 the bits in which two differ bound the overlap from above.  Pairs that may reach the
 threshold are settled by intersecting sorted arrays.  A first round joins sets inside small
-tiles of a few lists, so that groups of copies collapse; the second round compares across
-those groups in all tiles of all lists, so that no link between groups is lost.  Tiles hold
-bitmaps alone; shingles are only gathered for the pairs that a round leaves.
+tiles of a few lists by spanning trees of the likest pairs, so that groups of near copies
+collapse; the second round compares across those groups in all tiles of all lists, so that no
+link between groups is lost.  Its pairs are settled in passes, the likest of each set first:
+what earlier links have joined need not be settled.  Tiles hold bitmaps alone; shingles are
+only gathered for the pairs that a pass takes.
 
 Defined results: null and empty texts have empty sets, linked with nothing; a text of
 fewer words than a shingle is one shingle; rows without doc_id have no component; rows with
-equal doc_id are one document if their sets are equal; an empty table gives an empty
-result; other columns are ignored.  Long texts count whole.
+equal doc_id are one document, which links as any of its texts does (``one_of_each`` judges each
+of its rows by its own text); an empty table gives an empty result; other columns are ignored.
+Long texts count whole.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, slices, text_of, without, written
@@ -45,6 +48,9 @@ FIRST_TILE = 256
 BLOCK = 2048
 #: So many of a set's least shingles in lists say in which tile of the second round it meets another.
 FIRSTS = 8
+#: Pairs of each set that the first pass over the second round's pairs settles; each later pass
+#: takes so many times more, until none is left.
+PASS = 8
 NO_SHINGLE = np.iinfo(np.int64).max
 SLICE = 512 << 10
 
@@ -153,11 +159,11 @@ def band(n):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.25)) + 1e-9).cast("int")
 
 
-NODE = "doc_id long, shingles binary"
+NODE = "node long, shingles binary"
 
 
 def node_rows(words: int):
-    """(doc_id, s1, text) -> sorted shingles, once for each doc_id of the task."""
+    """(node, s1, text) -> sorted shingles, once for each node of the task."""
     out = arrow_schema(NODE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,15 +190,17 @@ def matrix(bitmaps: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint64).reshape(len(rows), -1)
 
 
-def may_link(bits: np.ndarray, n: np.ndarray, own: np.ndarray, size: int, percent: int) -> np.ndarray:
-    """Whether rows can reach the threshold with a set of the given bitmap and size.
+def likeness(bits: np.ndarray, n: np.ndarray, own: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """The highest similarity that rows can have with a set of the given bitmap and size, in
+    millionths; -1 where that is below the threshold.
 
     Each differing bit stands for a shingle of one set alone, so the overlap is at most half
     of (both sizes - differing bits).
     """
     differ = np.bitwise_count(bits ^ own).sum(1, dtype=np.int64)
     most = np.minimum((n + size - differ) // 2, np.minimum(n, size))
-    return 100 * most >= percent * (n + size - most)
+    union = n + size - most
+    return np.where(100 * most >= percent * union, 1_000_000 * most // union, -1)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -230,25 +238,29 @@ def tiles(solve: Callable[[list[tuple]], list[tuple]], keys: int, ddl: str):
 
 
 def join_tile(percent: int):
-    """Rows (h, band, sub, doc_id, n, bits) of one tile -> pairs that join, as a forest, what
-    the bitmaps cannot keep apart."""
+    """Rows (h, band, sub, node, n, bits) of one tile -> a spanning forest, by the likest pairs,
+    of what the bitmaps cannot keep apart."""
 
     def solve(rows: list[tuple]) -> list[tuple]:
         if len(rows) < 2:
             return []
-        rows.sort(key=lambda r: (r[4], r[3]))
+        rows.sort(key=lambda r: r[3])
         n = np.array([r[4] for r in rows])
-        doc = np.array([r[3] for r in rows])
+        node = np.array([r[3] for r in rows])
         bits = matrix([r[5] for r in rows])
-        root = np.arange(len(rows))
-        pairs = []
-        for k in range(1, len(rows)):
-            low = int(np.searchsorted(n, -(-percent * n[k] // 100)))
-            near = np.flatnonzero(may_link(bits[low:k], n[low:k], bits[k], int(n[k]), percent)) + low
-            for j in near[np.argsort(doc[near])].tolist():
-                if root[j] != root[k]:
-                    pairs.append((min(doc[j], doc[k]), max(doc[j], doc[k])))
-                    root[root == root[k]] = root[j]
+        # Rows that are not in the forest yet, the likest row in its present tree, and how like.
+        left = np.arange(1, len(rows))
+        best, to = np.full(len(left), -1), np.zeros(len(left), np.int64)
+        last, pairs = 0, []
+        while len(left):
+            like = likeness(bits[left], n[left], bits[last], int(n[last]), percent)
+            nearer = like > best
+            best[nearer], to[nearer] = like[nearer], last
+            at = int(best.argmax())
+            last = int(left[at])
+            if best[at] >= 0:
+                pairs.append((min(node[last], node[to[at]]), max(node[last], node[to[at]])))
+            left, best, to = np.delete(left, at), np.delete(best, at), np.delete(to, at)
         return pairs
 
     return solve
@@ -261,8 +273,8 @@ def first_common(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
 
 
 def cross_tile(percent: int):
-    """Rows (h, band, i, j, doc_id, group, n, home, guest, minor, bits, least) of one tile ->
-    pairs of homes and others that may link, of different groups.
+    """Rows (h, band, i, j, node, group, n, home, guest, minor, bits, least) of one tile ->
+    pairs of homes and others that may link, of different groups, with their likeness.
 
     A pair stands in many lists.  Where the sets share one of the least shingles that they
     have in lists, only the tile of the smallest such shingle gives the pair."""
@@ -274,21 +286,22 @@ def cross_tile(percent: int):
         h = rows[0][0]
         bits = matrix([r[10] for r in homes + others])
         mine, theirs = bits[:len(homes)], bits[len(homes):]
-        doc, group, n, guest = (np.array([r[k] for r in others]) for k in (4, 5, 6, 8))
+        node, group, n, guest = (np.array([r[k] for r in others]) for k in (4, 5, 6, 8))
         least = np.full((len(others), FIRSTS), NO_SHINGLE)
         for k, r in enumerate(others):
             least[k, :len(r[11])] = r[11]
         pairs = []
         for k, r in enumerate(homes):
             # Two sets outside the main group meet twice, once as each one's home.
-            fit = (group != r[5]) & ~(guest & r[8]) & ((doc > r[4]) | (not r[9]))
+            fit = (group != r[5]) & ~(guest & r[8]) & ((node > r[4]) | (not r[9]))
             at = np.flatnonzero(fit)
             if len(at):
-                at = at[may_link(theirs[at], n[at], mine[k], r[6], percent)]
+                like = likeness(theirs[at], n[at], mine[k], r[6], percent)
+                at, like = at[like >= 0], like[like >= 0]
             if len(at):
                 first = first_common(np.array(r[11]), least[at])
-                at = at[(first == h) | (first == NO_SHINGLE)]
-                pairs += [(min(r[4], d), max(r[4], d)) for d in doc[at].tolist()]
+                here = (first == h) | (first == NO_SHINGLE)
+                pairs += [(min(r[4], d), max(r[4], d), s) for d, s in zip(node[at[here]].tolist(), like[here].tolist())]
         return list(set(pairs))
 
     return solve
@@ -308,33 +321,36 @@ def verify(percent: int):
 
 def verified(docs: DataFrame, leads: DataFrame, pairs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) that are links.  Only texts that stand in a pair are shingled again."""
-    pairs = written(pairs.distinct(), f"{name}-pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    wanted = leads.select("doc_id", "s1").distinct().join(wanted, "doc_id")
-    sets = written(docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "s1", "text")
-                   .mapInArrow(node_rows(words), NODE), f"{name}-sets")
-    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
+    pairs = written(pairs.select("a", "b").distinct(), f"{name}-pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = leads.join(wanted, "node").select("node", "s1", "doc_id", "text_key")
+    sets = written(docs.join(wanted.hint("shuffle_hash"), ["doc_id", "text_key"]).select("node", "s1", "text")
+                   .mapInArrow(node_rows(words), NODE).dropDuplicates(["node"]), f"{name}-sets")
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
     return written(both.select("a", "b", "x", "y").mapInArrow(verify(percent), "a long, b long"), f"{name}-links")
 
 
 def first_round(posts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) inside small tiles of each set's first lists."""
     lists = posts.groupBy("h", "band").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
-    own = posts.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "h", "band"))),
-                                              1, FIRST_LISTS).alias("p"))
-    few = own.select("doc_id", F.explode("p").alias("x")).select("doc_id", "x.h", "x.band")
-    few = few.join(lists, ["h", "band"]).select("h", "band", "doc_id", F.pmod(
-        F.xxhash64("doc_id", "h"), F.ceil(F.col("m") / FIRST_TILE)).alias("sub"))
-    rows = few.join(nodes, "doc_id").select("h", "band", "sub", "doc_id", "n", "bits")
+    own = posts.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "h", "band"))),
+                                            1, FIRST_LISTS).alias("p"))
+    few = own.select("node", F.explode("p").alias("x")).select("node", "x.h", "x.band")
+    few = few.join(lists, ["h", "band"]).select("h", "band", "node", F.pmod(
+        F.xxhash64("node", "h"), F.ceil(F.col("m") / FIRST_TILE)).alias("sub"))
+    rows = few.join(nodes, "node").select("h", "band", "sub", "node", "n", "bits")
     return (rows.repartition("h", "band", "sub").sortWithinPartitions("h", "band", "sub")
             .mapInArrow(tiles(join_tile(percent), 3, "a long, b long"), "a long, b long"))
 
 
+PAIRS = "a long, b long, like long"
+
+
 def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups that may link, from all tiles of all lists."""
-    own = posts.join(groups, "doc_id", "left").select(
-        "h", "doc_id", "band", F.coalesce("group", "doc_id").alias("group"))
+    """Pairs (a, b) of different groups that may link, from all tiles of all lists, and their likeness."""
+    own = posts.join(groups, "node", "left").select(
+        "h", "node", "band", F.coalesce("group", "node").alias("group"))
     rows = own.withColumn("guest", F.lit(False)).unionByName(
         own.withColumn("band", F.col("band") - 1).withColumn("guest", F.lit(True)))
     # A tile's main group need not be compared with itself: only the rest meets all.
@@ -347,20 +363,54 @@ def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent:
                          F.ceil((F.col("m") - F.col("main.m")) / BLOCK).cast("int").alias("rest"),
                          F.col("main.group").alias("main"))
     rows = rows.join(stats, ["h", "band"]).withColumns({
-        "i": F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"),
-        "j": F.pmod(F.xxhash64("doc_id"), F.col("rest")).cast("int")})
+        "i": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"),
+        "j": F.pmod(F.xxhash64("node"), F.col("rest")).cast("int")})
     homes = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rest") - 1))).withColumn("home", F.lit(True))
     others = (rows.where(F.col("group") != F.col("main"))
               .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.lit(False)))
     both = (homes.unionByName(others).withColumn("minor", F.col("group") != F.col("main"))
-            .join(nodes, "doc_id")
-            .select("h", "band", "i", "j", "doc_id", "group", "n", "home", "guest", "minor", "bits", "least"))
+            .join(nodes, "node")
+            .select("h", "band", "i", "j", "node", "group", "n", "home", "guest", "minor", "bits", "least"))
     return (both.repartition("h", "band", "i", "j").sortWithinPartitions("h", "band", "i", "j")
-            .mapInArrow(tiles(cross_tile(percent), 4, "a long, b long"), "a long, b long"))
+            .mapInArrow(tiles(cross_tile(percent), 4, PAIRS), PAIRS))
+
+
+def grouped(links: DataFrame) -> DataFrame:
+    """(node, group) of each node in ``links``."""
+    found = components(links).withColumnRenamed("node", "_node").withColumnRenamed("component", "group")
+    return written(found.withColumnRenamed("_node", "node"), "groups")
+
+
+def foreign(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different groups."""
+    for end in ("a", "b"):
+        own = groups.select(F.col("node").alias(end), F.col("group").alias(f"g{end}"))
+        pairs = pairs.join(own, end, "left").withColumn(f"g{end}", F.coalesce(f"g{end}", end))
+    return pairs.where(F.col("ga") != F.col("gb")).drop("ga", "gb")
+
+
+def settled(docs: DataFrame, leads: DataFrame, near: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links that join the same sets as ``near`` and all links among ``pairs`` (a, b, like).
+
+    Each pass takes the likest pairs of each set, ``PASS`` times as many as the one before;
+    those of one group go, until no pair is left."""
+    links, take = near, PASS
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("like").alias("like")), "far-pairs")
+    best = Window.partitionBy("a").orderBy(F.desc("like"), "b")
+    while not pairs.isEmpty():
+        ranked = written(pairs.withColumn("k", F.row_number().over(best)), "far-ranked")
+        links = links.unionByName(verified(docs, leads, ranked.where(F.col("k") <= take), words, percent, "far"))
+        rest = ranked.where(F.col("k") > take).drop("k")
+        if rest.isEmpty():
+            break
+        pairs, take = written(foreign(rest, grouped(links)), "far-left"), take * PASS
+    return links
 
 
-def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, and text_key, a hash of the text."""
+def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT,
+                       by_row: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, and text_key, a hash of the text.
+    ``by_row`` links each row by its own text only, where rows share a doc_id."""
     if not PERCENT <= percent <= 100:
         raise ValueError("bands are made for thresholds of 80 per cent or more")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
@@ -368,27 +418,38 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     frequent = frequent_shingles(docs, words, FREQUENT)
     sets = written(docs.mapInArrow(set_rows(words, percent, frequent), SETS), "sets")
     some = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    firsts = some.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"))
+    # Each different set is a node.  It has the smallest doc_id as its number, or, where that
+    # stands with several sets, a hash of both.
+    firsts = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_key", "doc_id").alias("text_key"))
+    alone = firsts.groupBy("doc_id").agg((F.count(F.lit(1)) == 1).alias("alone"))
+    firsts = written(firsts.join(alone, "doc_id").withColumn("node", F.when(
+        F.col("alone"), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "s1", "s2"))).drop("alone"), "firsts")
     # Copies post the same shingles under the same set hash, so they do not make a list.
     lists = (some.select("s1", F.explode("posted").alias("h")).groupBy("h")
              .agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where(F.col("low") != F.col("high")).select("h"))
-    leads = some.join(firsts.select("doc_id", "s1", "s2"), ["doc_id", "s1", "s2"])
-    posts = (leads.select("doc_id", "n", F.posexplode("posted").alias("place", "h"))
-             .join(lists, "h").select("h", "doc_id", band(F.col("n")).alias("band"), "place").distinct())
+    leads = some.join(firsts, ["doc_id", "text_key", "s1", "s2"])
+    posts = (leads.select("node", "n", F.posexplode("posted").alias("place", "h"))
+             .join(lists, "h").select("h", "node", band(F.col("n")).alias("band"), "place").distinct())
     posts = written(posts, "posts")
     # At most as many shingles of a set come together here as it has posted.
-    least = posts.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_set("h")), 1, FIRSTS).alias("least"))
-    nodes = written(leads.select("doc_id", "n", "bits").dropDuplicates(["doc_id"]).join(least, "doc_id"), "nodes")
-    near = verified(docs, leads, first_round(posts, nodes, percent), words, percent, "near")
-    groups = components(near).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "group")
-    groups = written(groups, "groups")
-    far = verified(docs, leads, second_round(posts, nodes, groups, percent), words, percent, "far")
-    found = components(near.unionByName(far))
-    first_of = (sets.select("doc_id", "text_key", "n", "s1", "s2")
-                .join(firsts.select("s1", "s2", F.col("doc_id").alias("first")), ["s1", "s2"], "left"))
-    return (first_of.join(found.withColumnRenamed("node", "first"), "first", "left")
+    least = posts.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("h")), 1, FIRSTS).alias("least"))
+    nodes = written(leads.select("node", "n", "bits").dropDuplicates(["node"]).join(least, "node"), "nodes")
+    near = verified(docs, firsts, first_round(posts, nodes, percent), words, percent, "near")
+    links = settled(docs, firsts, near, second_round(posts, nodes, grouped(near), percent), words, percent)
+    rows = sets.join(firsts.select("s1", "s2", "node", F.col("doc_id").alias("first")), ["s1", "s2"], "left").select(
+        "doc_id", "text_key", "n", "node", "first")
+    if not by_row:
+        several = (rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("doc_id")
+                   .agg(F.min("node").alias("a"), F.max("node").alias("b")).where(F.col("a") != F.col("b")).drop("b"))
+        links = links.unionByName(rows.where(F.col("n") > 0).join(several, "doc_id")
+                                  .select("a", F.col("node").alias("b")))
+    found = written(components(links), "found")
+    least_doc = (found.join(firsts.select("node", "doc_id"), "node").groupBy("component")
+                 .agg(F.min("doc_id").alias("least")))
+    found = found.join(least_doc, "component").select("node", "least")
+    return (rows.join(found, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "first"))
+                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("least", "first"))
                     .otherwise(F.col("doc_id"))
                     .alias("component_id"), "text_key"))
 
@@ -396,5 +457,5 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
 def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents with the smallest doc_id of their component, all columns as they are.
     Rows without doc_id stay; rows that share doc_id and text stay or go together."""
-    return without(documents, jaccard_components(documents, words, percent)
+    return without(documents, jaccard_components(documents, words, percent, by_row=True)
                    .where(F.col("component_id") != F.col("doc_id")))

@@ -187,7 +187,6 @@ def brute_components(rows):
 
 
 def test_jaccard_components(docs):
-    # Rows that share a doc_id are one document only if their sets are equal, as here.
     got = [tuple(r)[:3] for r in jaccard_join.jaccard_components(docs).collect()]
     assert multiset(got) == multiset(brute_components(cases.texts()))
 
@@ -209,6 +208,47 @@ def test_jaccard_chains_and_thresholds(spark):
     assert multiset(got) == multiset(brute_components(rows))
 
 
+def test_jaccard_one_doc_id_with_several_texts(spark):
+    """A document links as any of its texts does; ``one_of_each`` judges each row by its own text."""
+    a, b, c = ([f"{x}{k}" for k in range(60)] for x in "abc")
+    near = [" ".join(w[:59] + ["z"]) for w in (a, b)]
+    rows = [(9, " ".join(a)), (9, " ".join(b)), (9, " ".join(c)), (7, near[0]), (8, near[1]), (12, " ".join(c)), (9, " ".join(a))]
+    docs = cases.documents(spark, rows)
+    got = [(r.doc_id, r.component_id) for r in jaccard_join.jaccard_components(docs).collect()]
+    assert sorted(got) == [(7, 7), (8, 7), (9, 7), (9, 7), (9, 7), (9, 7), (12, 7)]
+    left = sorted((r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).select("doc_id", "text").collect())
+    assert left == sorted([(7, near[0]), (8, near[1]), (9, " ".join(c))])
+
+
+def near_group(n, seed=0):
+    """n copies of one text with edits at random places: some pairs link, most do not."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n):
+        words = [f"w{j}" for j in range(180)]
+        for j in rng.choice(180, 2, replace=False):
+            words[j] = f"x{rng.integers(1 << 30)}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_jaccard_group_of_near_copies_is_not_compared_in_pairs(spark, monkeypatch):
+    taken = {}
+    real = jaccard_join.verified
+
+    def counted(docs, leads, pairs, *rest):
+        taken[len(rows)] = taken.get(len(rows), 0) + pairs.select("a", "b").distinct().count()
+        return real(docs, leads, pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "verified", counted)
+    for n in (150, 600):
+        rows = near_group(n)
+        got = [tuple(r)[:3] for r in jaccard_join.jaccard_components(cases.documents(spark, rows)).collect()]
+        assert multiset(got) == multiset(brute_components(rows))
+    # Pairs that are settled grow with the group, not with its square.
+    assert all(pairs <= 4 * n for n, pairs in taken.items())
+
+
 def test_one_of_each_keeps_columns(docs):
     out = jaccard_join.one_of_each(docs)
     assert out.dtypes == docs.dtypes
