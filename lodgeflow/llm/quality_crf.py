@@ -39,20 +39,9 @@ KINDS = {
     "space": b" \t\r\x0b\x0c", "pipe": b"|", "symbol": b"#*$%&<>", "bang": b"!",
     "stop": b".,;:?'\"()-", "wide": bytes(range(128, 256)),
 }
-FIELD = 21
 NEIGHBOURS = ("upper", "pipe", "symbol", "bang", "again", "echo", "log_words")
 
 
-def kind_tables() -> list[np.ndarray]:
-    """Three counters in each 64-bit value: a stretch of under 2**21 bytes cannot overflow."""
-    tables = []
-    for k, chars in enumerate(KINDS.values()):
-        if k % 3 == 0:
-            tables.append(np.zeros(256, np.uint64))
-        tables[-1][list(chars)] = np.uint64(1) << np.uint64(FIELD * (k % 3))
-    return tables
-
-
 def line_places(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of lines, and the bounds of each text in lines; an empty text is one line."""
     breaks = np.flatnonzero(data == 10)
@@ -91,21 +80,22 @@ def lines_of(texts: pa.Array, hasher: Hasher) -> Lines:
     size = ends - starts
     whole = np.maximum(size, 1)
     columns: dict[str, np.ndarray] = {}
-    names = iter(KINDS)
-    for table in kind_tables():
-        sums = np.zeros(len(data) + 1, np.uint64)
+    for name, chars in KINDS.items():
+        table = np.zeros(256, bool)
+        table[list(chars)] = True
+        sums = np.zeros(len(data) + 1, np.int64)
         np.cumsum(table[data], out=sums[1:])
-        count = sums[ends] - sums[starts]
-        for k, name in zip(range(3), names):
-            columns[name] = ((count >> np.uint64(FIELD * k)) & np.uint64((1 << FIELD) - 1)) / whole
-    word_starts, word_ends, _ = word_places(data, bounds)
+        columns[name] = (sums[ends] - sums[starts]) / whole
+    word_starts, word_ends, word_first = word_places(data, bounds)
     at, to = np.searchsorted(word_starts, starts), np.searchsorted(word_starts, ends)
     n_words = to - at
     short = np.concatenate([[0], np.cumsum(word_ends - word_starts <= 3)])
     spoken = word_hashes(hasher, data, word_starts, word_ends)
     echo = np.zeros(len(spoken), bool)
+    # Words are compared within one text only.
+    since = np.arange(len(spoken)) - np.repeat(word_first[:-1], np.diff(word_first))
     for back in (1, 2, 3):
-        echo[back:] |= spoken[back:] == spoken[:-back]
+        echo[back:] |= (spoken[back:] == spoken[:-back]) & (since[back:] >= back)
     echoes = np.concatenate([[0], np.cumsum(echo)])
     columns["echo"] = (echoes[to] - echoes[at]) / np.maximum(n_words, 1)
     columns["log_words"] = np.log1p(n_words)
@@ -206,7 +196,8 @@ def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int
 
 
 def scores(lines: Lines, model: Model) -> np.ndarray:
-    ahead, behind = forward_backward(lines.features @ model.weights, lines.first, model)
+    # Summed row by row, so that a score does not depend on the texts beside it.
+    ahead, behind = forward_backward((lines.features * model.weights).sum(1), lines.first, model)
     good = sigmoid(ahead + behind) * lines.weights
     at = lines.first[:-1]
     return np.add.reduceat(good, at) / np.add.reduceat(lines.weights, at)
