@@ -14,9 +14,12 @@ ignored.  Long texts are scanned whole.
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -89,31 +92,45 @@ def places(norm: bytes, phrase: bytes) -> list[int]:
 
 
 def windows(norm: bytes, n: Notice) -> list[tuple[int, int]]:
-    """Stretches that an edited copy around an exact seed can fill, merged."""
-    found = []
+    """Stretches that an edited copy around an exact seed can fill, ending with a word."""
+    found = set()
     for offset, seed in n.seeds:
         at = norm.find(seed)
         while at >= 0:
-            begin = at - offset
-            found.append((max(0, begin - n.edits), min(len(norm), begin + len(n.text) + 2 * n.edits)))
+            begin = max(0, at - offset - n.edits)
+            end = min(len(norm), at - offset + len(n.text) + 2 * n.edits)
+            if end < len(norm) and norm[end] != 32:
+                end = norm.rfind(b" ", begin, end)
+            found.add((begin, end))
             at = norm.find(seed, at + 1)
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return merged
+    return sorted(found)
 
 
 def fuzzy_spans(norm: bytes, n: Notice) -> list[tuple[int, int, int]]:
-    """(start, end, edits) of verified copies, non-overlapping within each window."""
-    spans = []
-    for a, b in windows(norm, n):
-        for m in n.pattern.finditer(norm, a, min(len(norm), b + 1)):
-            if m.end() == len(norm) or norm[m.end():m.end() + 1] == b" ":
-                spans.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-    return spans
+    """(start, end, edits) of verified copies that do not overlap: those with the fewest edits
+    first, then the leftmost.  Where a better copy takes part of a window, what is left of the
+    window in front of it and behind it is searched again."""
+    ready: list[tuple[int, int, int, int, int]] = []
+    taken: list[tuple[int, int, int]] = []
+
+    def search(a: int, b: int) -> None:
+        if b - a >= len(n.text) - n.edits:
+            m = n.pattern.search(norm, a, b)
+            if m:
+                heapq.heappush(ready, (sum(m.fuzzy_counts), m.start(), m.end(), a, b))
+
+    for window in windows(norm, n):
+        search(*window)
+    while ready:
+        edits, start, end, a, b = heapq.heappop(ready)
+        at = bisect_right(taken, (start, len(norm) + 1, 0))
+        near = [t for t in taken[max(0, at - 1):at + 1] if t[0] < end and start < t[1]]
+        if not near:
+            taken.insert(at, (start, end, edits))
+        elif near[0][:2] != (start, end):
+            search(a, min(b, near[0][0] - 1))
+            search(max(a, near[0][1] + 1), b)
+    return taken
 
 
 OUT = ("doc_id long, n_words long, n_base long, first_word long, last_word long, "
@@ -128,18 +145,21 @@ def scanner(phrases: dict[str, str], notices: dict[str, str]):
     def row(doc_id, data: bytes, known: list[Notice]) -> tuple:
         words = data.translate(NORMAL).split()
         norm = b" ".join(words)
+        # The word that starts at a byte has as many spaces before it as words.
+        spaces = np.flatnonzero(np.frombuffer(norm, np.uint8) == 32)
         starts, base_labels = [], set()
         for phrase, label in base:
-            for at in places(norm, phrase):
-                starts.append(norm.count(b" ", 0, at))
+            found = places(norm, phrase)
+            if found:
+                starts += np.searchsorted(spaces, found).tolist()
                 base_labels.add(label)
         labels, score, spans = set(base_labels), float(bool(base_labels)), []
         for n in known:
             for a, b, edits in fuzzy_spans(norm, n):
                 labels.add(n.label)
                 score = max(score, 1 - edits / len(n.text))
-                first = norm.count(b" ", 0, a)
-                spans.append((first, first + norm.count(b" ", a, b) + 1, n.label, edits))
+                first, last = np.searchsorted(spaces, (a, b)).tolist()
+                spans.append((first, last + 1, n.label, edits))
         return (doc_id, len(words), len(starts), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted(base_labels)), ",".join(sorted(labels)), score,
                 ",".join(f"{label}:{a}:{b}:{e}" for a, b, label, e in sorted(spans)))
