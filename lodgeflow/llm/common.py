@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the session names; one of our own only where it names none."""
+    """The shared folder that the session names; one of our own only on a local master that names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         root = _OWN_ROOT.setdefault(app, "file://" + tempfile.mkdtemp(prefix="llm-"))
     return root.rstrip("/")

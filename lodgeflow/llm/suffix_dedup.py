@@ -392,10 +392,13 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
     are.  Bytes left of a character that a cut went through are dropped; null texts stay null."""
     info = removed_spans(keyed(documents), length, gram, hot)
     rest = [F.col(c) for c in documents.columns if c != "text"]
-    rows = keyed(documents, F.struct(F.col("text").isNull().alias("_null"), *rest).alias("row"))
+    null = "_null"
+    while null in map(str.lower, documents.columns):
+        null += "_"
+    rows = keyed(documents, F.struct(F.col("text").isNull().alias(null), *rest).alias("row"))
     joined = texts_with(rows, info, "left").select("row", "text", "copy", "spans")
     schema = StructType([joined.schema["row"], StructField("kept", StringType())])
     made = joined.mapInArrow(trimmed(length), schema)
     return made.select(*[
-        F.when(~F.col("row._null"), F.col("kept")).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
+        F.when(~F.col(f"row.{null}"), F.col("kept")).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
         for c in documents.columns])

@@ -3,6 +3,7 @@ rows and clashing column names; and on empty tables."""
 
 import hashlib
 import re
+import time
 import zlib
 from array import array
 from collections import Counter
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lodgeflow.llm import (fingerprints, jaccard_join, license_scan, packing, quality_crf, quality_rules,
@@ -515,6 +517,89 @@ def test_quality_classifier(spark, docs):
     assert {x.score for x in none.collect()} == {0.5}
 
 
+def edited(rng, text, edits):
+    for _ in range(edits):
+        k, c = int(rng.integers(1, len(text) - 1)), "qxz"[int(rng.integers(3))]
+        text = [text[:k] + c + text[k + 1:], text[:k] + text[k + 1:], text[:k] + c + text[k:]][int(rng.integers(3))]
+    return text
+
+
+def test_license_copies_next_to_each_other_are_all_found():
+    """Every planted copy is met by a span of no more edits, and spans do not overlap."""
+    rng = np.random.default_rng(1)
+    known = [license_scan.notice(t, label) for t, label in license_scan.NOTICES.items()]
+    for trial in range(300):
+        n, parts, want, at = known[trial % len(known)], [], [], 0
+        for _ in range(int(rng.integers(1, 6))):
+            edits = int(rng.integers(0, n.edits + 1))
+            parts.append(edited(rng, n.text.decode(), edits).encode())
+            want.append((at, at + len(parts[-1]), edits))
+            at += len(parts[-1]) + 1
+            if rng.random() < 0.5:
+                parts.append(b"other words")
+                at += 12
+        norm = b" ".join(parts)
+        got = license_scan.fuzzy_spans(norm, n)
+        assert all(x[1] < y[0] for x, y in zip(got, got[1:]))
+        assert all(norm[a - 1:a] in (b"", b" ") and norm[b:b + 1] in (b"", b" ") for a, b, _ in got)
+        assert all(any(x < b and a < y and e <= edits for x, y, e in got) for a, b, edits in want)
+    n = license_scan.notice("released under the mit license", "mit")
+    assert license_scan.fuzzy_spans(b"released under the mit lcense released under the mit license", n) == [
+        (0, 29, 1), (30, 60, 0)]
+
+
+def test_license_long_texts(spark):
+    """Places are counted in one pass, however many there are."""
+    rows = [(1, "cc by " * 200_000), (2, "released under the mit lcense " * 20_000)]
+    begun = time.time()
+    got = {r.doc_id: r for r in license_scan.scan_licenses(cases.documents(spark, rows)).collect()}
+    assert time.time() - begun < 60
+    assert (got[1].n_base, got[1].first_word, got[1].last_word) == (200_000, 0, 399_998)
+    assert got[2].spans.count("mit:") == 20_000
+
+
+def test_quality_features_know_one_text_only():
+    hasher, name = quality_crf.Hasher(), list(quality_crf.KINDS).index
+
+    def features(*texts):
+        lines = quality_crf.lines_of(pa.array(texts), hasher)
+        return lines.features[lines.first[-2]:]
+
+    text = "alpha beta gamma delta\nalpha beta"
+    for beside in ("alpha beta gamma", "delta", "", "x y z"):
+        assert (features(beside, text) == features(text)).all()
+    assert features("alpha alpha b alpha")[0][len(quality_crf.KINDS)] == 0.5
+    # A line of 3 MiB has the shares that a short one has.
+    assert (features("aB1" * (1 << 20))[0][:9] == features("aB1")[0][:9]).all()
+    assert features("a" * (3 << 20))[0][name("lower")] == 1
+
+
+def test_quality_scores_do_not_depend_on_neighbours_or_partitions(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, "\n".join(" ".join(f"w{j}" for j in rng.integers(0, 9, rng.integers(0, 12)))
+                          for _ in range(int(rng.integers(1, 7))))) for k in range(200)]
+    width = quality_crf.lines_of(pa.array(["a"]), quality_crf.Hasher()).features.shape[1]
+    model = quality_crf.Model(rng.normal(size=width), 0.3, 0.2)
+    docs = cases.documents(spark, rows)
+    one, many = ({r.doc_id: r.score for r in quality_crf.quality_scores(d, model).collect()}
+                 for d in (docs.coalesce(1), docs.repartition(7)))
+    assert one == many
+
+
+def test_repeats_go_beside_a_column_of_the_helper_name(spark):
+    docs = cases.documents(spark, [(1, "a" * 30), (2, None)]).withColumn("_null", F.lit(5))
+    assert sorted(r._null for r in suffix_dedup.without_repeats(docs).collect()) == [5, 5]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from lodgeflow.llm import common
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:1", applicationId="a"))
+    with pytest.raises(RuntimeError):
+        common.scratch_root(session)
+
+
 @pytest.mark.parametrize("run", [
     lambda d: substring_dedup.substring_dedup(d), lambda d: suffix_dedup.suffix_dedup(d),
     lambda d: jaccard_join.jaccard_components(d), lambda d: packing.pack(d, WORD_BPE),
