@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.storage import hadoop
+
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -36,7 +38,12 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A path for one table in a new folder of its own, which goes when the application ends."""
+    folder = f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    fs, path = hadoop(spark, folder)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/rows"
 
 
 def save(df: DataFrame, path: str) -> None:

@@ -17,6 +17,7 @@ are replaced.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -70,6 +71,36 @@ def screen(text: Column, rule: Rule) -> Column:
     return F.rlike(text, F.lit(rule.pattern))
 
 
+#: Least number of elements in a block of a long array.
+LEAST_BLOCK = 64
+
+
+def given(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_blocks(array: Column) -> Column:
+    """The array in blocks of about the square root of its size.  An accumulator is copied at
+    each step, so that one over n elements costs n * n; over blocks, and over elements in a
+    block, it costs n to the power of 1.5."""
+    def cut(whole: Column) -> Column:
+        n = F.size(whole)
+        size = F.greatest(F.lit(LEAST_BLOCK), F.ceil(F.sqrt(n)).cast("int"))
+        blocks = F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))
+        return F.when(n > 0, F.transform(blocks, lambda k: F.slice(whole, k * size + 1, size)))
+
+    return given(array, lambda whole: F.coalesce(cut(whole), F.slice(F.array(whole), 1, 0)))
+
+
+def begins(blocks: Column, reach: Callable[[Column, Column], Column]) -> Column:
+    """What ``reach`` (of the value before a block, and the block) has come to before each block."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all"))
+    return F.aggregate(blocks, zero, lambda acc, block: F.struct(
+        reach(acc["at"], block).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
+        lambda acc: acc["all"])
+
+
 def spans(text: Column, rule: Rule) -> Column:
     """Spans of one rule: the gaps and the matches alternate, so running sums of
     their lengths give the places."""
@@ -78,18 +109,26 @@ def spans(text: Column, rule: Rule) -> Column:
     groups = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else hits
     lengths = F.transform(F.arrays_zip(gaps.alias("g"), hits.alias("m"), groups.alias("v")),
                           lambda x: F.struct(F.length(x["g"]).cast("long").alias("g"),
-                                             F.length(x["m"]).cast("long").alias("m"),
+                                             F.coalesce(F.length(x["m"]), F.lit(0)).cast("long").alias("m"),
                                              F.length(x["v"]).cast("long").alias("v")))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), none.alias("found"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["g"]
-        end = start + F.coalesce(x["m"], F.lit(0))
+        end = start + x["m"]
         span = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rule.key).alias("rule")))
         return F.struct(end.alias("at"), F.when(
             x["v"] >= rule.least, F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
 
-    found = F.aggregate(lengths, zero, step, lambda acc: acc["found"])
+    def block_spans(at: Column, block: Column) -> Column:
+        zero = F.struct(at.alias("at"), none.alias("found"))
+        return F.aggregate(block, zero, step, lambda acc: acc["found"])
+
+    def reach(at: Column, block: Column) -> Column:
+        return F.aggregate(block, at, lambda acc, x: acc + x["g"] + x["m"])
+
+    found = given(in_blocks(lengths), lambda blocks: F.flatten(F.transform(
+        F.arrays_zip(begins(blocks, reach).alias("at"), blocks.alias("block")),
+        lambda x: block_spans(x["at"], x["block"]))))
     return F.when(screen(text, rule), found).otherwise(none)
 
 
@@ -157,18 +196,35 @@ def secret_digests(documents: DataFrame, ledger: str | None = None,
 
 
 def redacted(text: Column, findings: Column) -> Column:
-    """The text with each stretch of findings replaced by the first one's kind in brackets."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        ahead = x["start"] >= acc["at"]
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(ahead, F.concat(
-            acc["out"], gap, F.lit("["), x["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate(findings, start, step)
-    rest = F.substring(text, (done["at"] + 1).cast("int"), F.length(text))
-    return F.when(F.size(findings) == 0, text).otherwise(F.concat(done["out"], rest))
+    """The text with each stretch of findings replaced by the first one's kind in brackets.
+
+    Each block of findings works on its own part of the text, from where the findings before it
+    end; places count from the start of that part."""
+    def reach(at: Column, block: Column) -> Column:
+        return F.greatest(at, F.array_max(F.transform(block, lambda x: x["end"])))
+
+    def part(at: Column, block: Column) -> Column:
+        longest = F.greatest(F.lit(0).cast("long"), F.element_at(block, -1)["start"] - at)
+        return F.substring(text, (at + 1).cast("int"), longest.cast("int"))
+
+    def block_text(x: Column) -> Column:
+        def step(acc: Column, f: Column) -> Column:
+            ahead = f["start"] >= acc["at"]
+            gap = F.substring(x["part"], (acc["at"] - x["at"] + 1).cast("int"), (f["start"] - acc["at"]).cast("int"))
+            return F.struct(F.greatest(acc["at"], f["end"]).alias("at"), F.when(ahead, F.concat(
+                acc["out"], gap, F.lit("["), f["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(x["block"], F.struct(x["at"].alias("at"), F.lit("").alias("out")), step, lambda acc: acc["out"])
+
+    def whole(blocks: Column) -> Column:
+        rows = F.arrays_zip(begins(blocks, reach).alias("at"), blocks.alias("block"))
+        parts = F.transform(rows, lambda x: F.struct(
+            x["at"].alias("at"), x["block"].alias("block"), part(x["at"], x["block"]).alias("part")))
+        end = F.array_max(F.transform(findings, lambda x: x["end"]))
+        return F.concat(F.array_join(F.transform(parts, block_text), ""),
+                        F.substring(text, (end + 1).cast("int"), F.length(text)))
+
+    return F.when(F.size(findings) == 0, text).otherwise(given(in_blocks(findings), whole))
 
 
 def without_secrets(documents: DataFrame, ledger: str | None = None,

@@ -127,8 +127,9 @@ def owners(segments: list[bytes], docs: np.ndarray, starts: np.ndarray, length:
 SEGMENT = "bucket long, segment long, doc_id long, k1 long, start int, bytes binary"
 
 
-def cut_segments(length: int, gram: int):
-    """(doc_id, k1, text, hs, hots) -> the runs of windows of repeated anchors."""
+def cut_segments(length: int, gram: int, most: int):
+    """(doc_id, k1, text, hs, hots) -> the runs of windows of repeated anchors, a longer run in
+    pieces of ``most`` windows (pieces share length - 1 bytes, so no window is lost)."""
     out = arrow_schema(SEGMENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,6 +153,8 @@ def cut_segments(length: int, gram: int):
             new = np.ones(len(at), bool)
             new[1:] = (np.diff(at) != 1) | (bucket[1:] != bucket[:-1])
             firsts = np.flatnonzero(new)
+            new |= (np.arange(len(at)) - firsts[np.cumsum(new) - 1]) % most == 0
+            firsts = np.flatnonzero(new)
             a = at[firsts]
             b = at[np.append(firsts[1:], len(at)) - 1] + length
             doc = np.searchsorted(bounds, a, "right") - 1
@@ -169,9 +172,9 @@ OWNED = "bucket long, segment long, low int, high int, owner long, owner_start i
 
 
 def expand(length: int, block: int):
-    """Different segments, sorted by bucket and part -> stretches of windows and their earliest
-    places in the part; ``own`` has the bytes of a stretch whose part is one of several and
-    that has no earlier place in it."""
+    """Different segments, sorted by bucket and part -> stretches of windows and the earliest place,
+    in the part, of a stretch's first window.  The windows of a stretch are all owners, or all have
+    an earlier place; ``own`` has the bytes of a stretch of owners whose part is one of several."""
     out = arrow_schema(OWNED)
 
     def solve(rows: list[tuple]) -> pa.RecordBatch | None:
@@ -181,13 +184,14 @@ def expand(length: int, block: int):
         seg, off, doc, start = owners(list(texts), docs, starts, length)
         order = np.lexsort((off, seg))
         seg, off, doc, start = seg[order], off[order], doc[order], start[order]
+        owner = (doc == docs[seg]) & (start == starts[seg] + off)
         new = np.ones(len(seg), bool)
-        new[1:] = (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (np.diff(start) != 1)
+        new[1:] = (seg[1:] != seg[:-1]) | (owner[1:] != owner[:-1])
         firsts = np.flatnonzero(new)
         lasts = np.append(firsts[1:], len(seg)) - 1
         seg, low, high, doc, start = seg[firsts], off[firsts], off[lasts], doc[firsts], start[firsts]
         bucket, segment = np.array(bucket)[seg], np.array(segment)[seg]
-        own = (np.array(parts)[seg] > 0) & (doc == docs[seg]) & (start == starts[seg] + low)
+        own = (np.array(parts)[seg] > 0) & owner[firsts]
         return pa.RecordBatch.from_arrays([
             pa.array(bucket), pa.array(segment), pa.array(low.astype(np.int32)),
             pa.array(high.astype(np.int32)), pa.array(doc), pa.array(start.astype(np.int32)),
@@ -274,8 +278,7 @@ def dealt(segments: DataFrame, block: int) -> DataFrame:
     large = (segments.groupBy("bucket", "segment").agg(F.first(F.length("bytes")).alias("n"))
              .groupBy("bucket").agg(F.sum(F.col("n") + 1).alias("n")).where(F.col("n") > block)
              .select("bucket", F.ceil(F.col("n") / block).alias("parts")))
-    # One row for each block at most: few beside the segments.
-    large = F.broadcast(written(large, "large-buckets"))
+    large = written(large, "large-buckets")
     # The hash-equal segments of a bucket are one; min_by and min take the same row's place.
     place = F.struct("doc_id", "start")
     different = segments.groupBy("bucket", "segment").agg(
@@ -287,8 +290,8 @@ def dealt(segments: DataFrame, block: int) -> DataFrame:
 
 
 def owned(segments: DataFrame, length: int, block: int) -> DataFrame:
-    """bucket, segment, low, high, owner, owner_start: for each window of the different segments
-    an earlier place, if there is one, else its own."""
+    """bucket, segment, low, high, owner, owner_start: stretches of windows of the different segments,
+    with an earlier place of the first one if all have one, else its own place."""
     solved = written(dealt(segments, block).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
                      .mapInArrow(expand(length, block), OWNED), "solved")
     windows = (solved.where(F.col("own").isNotNull())
@@ -348,7 +351,7 @@ def removed_spans(docs: DataFrame, length: int, gram: int, hot: int) -> DataFram
     """doc_id, k1, copy, spans of the texts that lose bytes."""
     candidates = repeated_anchors(docs, length, gram, words=False, within=True, hot=hot)
     texts = texts_with(docs, candidates).select("doc_id", "k1", "text", "hs", "hots")
-    segments = written(texts.mapInArrow(cut_segments(length, gram), SEGMENT), "segments")
+    segments = written(texts.mapInArrow(cut_segments(length, gram, max(length, BLOCK // 4)), SEGMENT), "segments")
     solved = owned(segments, length, BLOCK)
     found = (segments.select("bucket", "segment", "doc_id", "k1", "start").join(solved, ["bucket", "segment"])
              .where((F.col("owner") < F.col("doc_id")) | (

@@ -2,6 +2,7 @@
 rows and clashing column names; and on empty tables."""
 
 import hashlib
+import random
 import re
 import time
 import zlib
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 from lodgeflow.llm import (fingerprints, jaccard_join, license_scan, packing, quality_crf, quality_rules,
                            secret_scan, sentencepieces, substring_dedup, suffix_dedup)
+from lodgeflow.sources.storage import hadoop
 
 from . import cases
 
@@ -151,6 +153,37 @@ def test_windows_meet_across_the_blocks_of_a_bucket(spark):
     assert want and got == want
 
 
+@pytest.mark.parametrize("unit", ["a", "ab", "abc" * 7 + "d"])
+def test_long_runs_are_cut_into_segments(spark, monkeypatch, unit):
+    """A run that repeats throughout: no segment is longer than a quarter of a block and a window."""
+    block, length = 2000, 100
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    run = (unit * 9000)[:9000]
+    rows = [(3, "x" + run), (5, run[:4000] + cases.prose(70, 40)), (8, cases.prose(71, 40) + run[1:2500])]
+    keyed = suffix_dedup.keyed(cases.documents(spark, rows))
+    anchors = suffix_dedup.repeated_anchors(keyed, length, 40, words=False, within=True, hot=2000)
+    texts = suffix_dedup.texts_with(keyed, anchors).select("doc_id", "k1", "text", "hs", "hots")
+    cut = texts.mapInArrow(suffix_dedup.cut_segments(length, 40, block // 4), suffix_dedup.SEGMENT)
+    assert cut.selectExpr("max(length(bytes)) as n").first().n == block // 4 + length - 1
+    first, want = {}, []
+    for doc_id, text in rows:
+        gone = np.zeros(len(text), bool)
+        for k in range(len(text) - length + 1):
+            if first.setdefault(text[k:k + length], (doc_id, k)) != (doc_id, k):
+                gone[k:k + length] = True
+        kept = "".join(c for c, g in zip(text, gone) if not g)
+        want.append((doc_id, len(text), int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest()))
+    made = suffix_dedup.suffix_dedup(cases.documents(spark, rows), length).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in made) == want
+
+
+def test_four_megabytes_of_one_letter(spark):
+    begun = time.monotonic()
+    made = suffix_dedup.suffix_dedup(cases.documents(spark, [(1, "a" * (4 << 20)), (2, "b")])).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in made] == [(4 << 20, (4 << 20) - 1, 1), (1, 0, 0)]
+    assert time.monotonic() - begun < 60
+
+
 def test_without_repeats_keeps_columns(docs):
     out = suffix_dedup.without_repeats(docs)
     assert out.dtypes == docs.dtypes and out.count() == docs.count()
@@ -365,6 +398,49 @@ def test_redaction(docs):
     assert same[18] == dict(cases.texts())[18] and same[7] is None
 
 
+def redacted_by_hand(text: str, findings) -> str:
+    at, out = 0, ""
+    for f in findings:
+        if f.start >= at:
+            out += text[at:f.start] + f"[{f.kind}]"
+        at = max(at, f.end)
+    return out + text[at:]
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_spans_and_redaction_in_blocks(spark, monkeypatch, block):
+    """Many findings, of which some overlap or hold each other, in blocks of any size."""
+    monkeypatch.setattr(secret_scan, "LEAST_BLOCK", block)
+    rng = random.Random(block)
+    parts = ["token=abc", "é words 🎉 ", "0123456789abcdef" * 2, "password: " + "0af9" * 9, "AKIA" + "0" * 17 + "a" * 25, " ",
+             "secret=token=abcdefgh", "\n", "x" * 40]
+    rows = [(k, "".join(rng.choice(parts) for _ in range(n))) for k, n in enumerate([0, 1, 2, 3, 5, 8, 30, 200])]
+    docs = cases.documents(spark, rows)
+    found = {r.doc_id: r for r in secret_scan.scan_history(docs, "text", secret_scan.scratch_path(spark, "ledger")).collect()}
+    hexes = {k: [m.span() for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24] for k, t in rows}
+    assert {k: [(f.start, f.end) for f in r.findings if f.kind == "hex"] for k, r in found.items()} == hexes
+    assert max(len(r.findings) for r in found.values()) > 50
+    got = {r.doc_id: r.text for r in secret_scan.without_secrets(docs).collect()}
+    assert got == {k: redacted_by_hand(t, found[k].findings) for k, t in rows}
+
+
+def test_secrets_of_a_long_text(spark):
+    """40,000 findings in one text, scanned and redacted; an accumulator over all of them took minutes."""
+    docs = cases.documents(spark, [(1, ("0af9" * 8 + " ") * 40_000), (2, "clean")])
+    begun = time.monotonic()
+    assert [r.n_hex for r in secret_scan.secret_digests(docs).orderBy("doc_id").collect()] == [40_000, 0]
+    assert secret_scan.without_secrets(docs).where("doc_id = 1").first().text == "[hex] " * 40_000
+    assert time.monotonic() - begun < 60
+
+
+def test_scratch_tables_lie_in_folders_that_go(spark):
+    first, second = (secret_scan.scratch_path(spark, "kind") for _ in range(2))
+    assert first != second
+    fs, folder = hadoop(spark, first.removesuffix("/rows"))
+    assert fs.exists(folder) and fs.cancelDeleteOnExit(folder)
+    fs.delete(folder, True)
+
+
 def test_licenses(docs):
     word = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     rows = license_scan.scan_licenses(docs).collect()
