@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.joins import bounded_broadcast
 from .common import arrow_schema, slices, written
 from .hashing import Anchors, Hasher, buffer_of, mix
 from .repeats import SLICE, filed, first_copies, keyed, repeated_anchors, texts_with
@@ -278,7 +279,7 @@ def dealt(segments: DataFrame, block: int) -> DataFrame:
     large = (segments.groupBy("bucket", "segment").agg(F.first(F.length("bytes")).alias("n"))
              .groupBy("bucket").agg(F.sum(F.col("n") + 1).alias("n")).where(F.col("n") > block)
              .select("bucket", F.ceil(F.col("n") / block).alias("parts")))
-    large = written(large, "large-buckets")
+    large = bounded_broadcast(written(large, "large-buckets"))
     # The hash-equal segments of a bucket are one; min_by and min take the same row's place.
     place = F.struct("doc_id", "start")
     different = segments.groupBy("bucket", "segment").agg(
