@@ -59,10 +59,16 @@ def lookup_join(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
 
     ``take`` maps lookup column -> output name.  Duplicate lookup keys fan
     out, as in the SQL (Q-14).  AQE broadcasts the lookup when it measures it
-    small."""
-    lk = lookup.select(F.col(right_on).alias("__lk"),
-                       *[F.col(src).alias(dst) for src, dst in take.items()])
-    return df.join(lk, df[left_on] == lk["__lk"], how).drop("__lk")
+    small.  Where it shuffles, rows with a NULL key, which match nothing, are
+    dealt over all tasks by a hash of the row instead of meeting in one."""
+    # A literal zero would be folded into a filter and not be a key of the join.
+    lk = lookup.select(
+        F.col(right_on).alias("__lk"), F.xxhash64(right_on).bitwiseAND(F.lit(0)).alias("__ls"),
+        *[F.col(src).alias(dst) for src, dst in take.items()])
+    hashed = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    salted = df.withColumn("__ks", F.when(df[left_on].isNull(), F.xxhash64(*hashed)).otherwise(F.lit(0)))
+    return salted.join(lk, (salted[left_on] == lk["__lk"]) & (salted["__ks"] == lk["__ls"]), how).drop(
+        "__lk", "__ls", "__ks")
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

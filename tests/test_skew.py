@@ -128,3 +128,27 @@ def _plan(df) -> str:
 def test_plans_have_no_cross_or_nested_loop_joins(star, build):
     plan = _plan(build(star))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_null_lookup_keys_are_dealt_over_all_tasks(spark, how):
+    """30 % of the rows have no key: a shuffled lookup gives no task more than twice the median,
+    and the rows are those of the plain join."""
+    from lodgeflow.operators.joins import lookup_join
+    df = spark.range(40_000).selectExpr("id", "if(id % 10 < 3, null, concat('k', id % 2000)) as key", "map('a', id) as m")
+    lookup = spark.range(2000).selectExpr("if(id = 7, null, concat('k', id)) as name", "id as code")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {k: spark.conf.get(k) for k in names}
+    spark.conf.set(names[0], "-1")
+    spark.conf.set(names[1], "false")
+    try:
+        out = lookup_join(df, lookup, "key", "name", {"code": "code"}, how)
+        assert out.columns == ["id", "key", "m", "code"]
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        got = sorted(((r.id, r.code) for r in out.select("id", "code").collect()), key=lambda r: r[0])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = [(i, None if i % 10 < 3 or i % 2000 == 7 else i % 2000) for i in range(40_000)]
+    assert got == [w for w in want if how == "left" or w[1] is not None]
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
