@@ -30,8 +30,9 @@ def token(pick: Column) -> Column:
 
 
 def listing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw listing rows, all text, and the name (``file``) under which each is filed."""
-    rows = analogue.staging_listing(spark, sf_dir)
+    """Raw listing rows, all text, and the name (``file``) under which each is filed.  They come dealt by
+    month, which is one file name: rows are shuffled before they get their text, not after."""
+    rows = analogue.listings_by_month(spark, sf_dir)
     later = F.add_months("scraped_date", 12 * YEARS_LATER)
     nothing = token(F.col("number_of_reviews"))
     flag = lambda c: F.when(F.col(c), F.lit("t")).otherwise(F.lit("f"))
@@ -86,12 +87,12 @@ def landing_folder(spark: SparkSession) -> str:
     return path
 
 
-def land(rows: DataFrame, folder: str, name: str) -> None:
+def land(rows: DataFrame, folder: str, name: str, dealt: bool = False) -> None:
     """Writes ``rows`` as CSV files below ``folder``: ``name`` is a template of the row's ``file`` and a
-    number.  A file value with many rows is dealt to several files."""
+    number.  A file value with many rows is dealt to several files; ``dealt`` rows are so already."""
     spark = rows.sparkSession
     work = f"{folder}/_work-{uuid.uuid4().hex}"
-    (rows.hint("rebalance", "file").write.partitionBy("file")
+    ((rows if dealt else rows.hint("rebalance", "file")).write.partitionBy("file")
      .options(header=True, quote='"', escape='"').csv(work))
     fs, p = hadoop(spark, work)
     for value in [s.getPath() for s in fs.listStatus(p) if s.isDirectory()]:
@@ -110,7 +111,7 @@ def land_all(spark: SparkSession, sf_dir: str, *datasets: str) -> str:
     folder = landing_folder(spark)
     for d in datasets:
         make, name = DATASETS[d]
-        land(make(spark, sf_dir), folder, name)
+        land(make(spark, sf_dir), folder, name, dealt=d == "listing")
     return folder
 
 
