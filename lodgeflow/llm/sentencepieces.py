@@ -23,8 +23,10 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +37,8 @@ from .common import arrow_schema, slices, text_of
 MARK = "▁"
 THREADS = 2
 CACHED_PARTS = 400_000
+#: Words that are encoded in one call of the tokenizer.
+JOINED = 64
 
 #: Types of pieces and of models in the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -149,10 +153,12 @@ class Codec:
 
     def __init__(self, data: bytes):
         self.model = parse_model(data)
-        self.tokenizer = rebuilt(self.model)
-        #: The same without normaliser, for parts that are normal already.
+        #: Without normaliser, for parts that are normal already.
         self.bare = rebuilt(self.model)
         self.bare.normalizer = normalizers.Sequence([])
+        #: What each id decodes to inside a text; None where bytes have to be put together.
+        self.plain_text = [None if p.type == BYTE else p.text.replace(MARK, " ") for p in self.model.pieces]
+        self.leads = np.array([p.text.startswith(MARK) for p in self.model.pieces])
         texts = [p.text for p in self.model.pieces if p.type in (NORMAL, USER)]
         apart = not any(re.search(f"[^{MARK}]{MARK}", t) for t in texts)
         breaks = self.model.byte_fallback and not any("\n" in t for t in texts)
@@ -162,8 +168,13 @@ class Codec:
         #: Whether words between single spaces are encoded alone, with a marker in front.
         self.by_word = apart and self.plain and self.model.dummy_prefix
         self.ids: dict[str, bytes] = {}
+        #: What parts decode to; of words alone only those that do not come back, with a space in front.
         self.back: dict[str, str] = {}
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        return rebuilt(self.model)
+
     def normal(self, text: str) -> str:
         if not self.plain:
             return self.tokenizer.normalizer.normalize_str(text) if text and self.tokenizer.normalizer else text
@@ -176,6 +187,22 @@ class Codec:
             return text.split(" ") if text else []
         return [MARK + p for p in self.cut.findall(self.normal(text))]
 
+    def joined_ids(self, words: list[str]) -> Iterator[list[int]]:
+        """Ids of each word with a marker in front.  Words are encoded by the joined text of many, and fall
+        apart at the pieces that begin with a marker; where that gives another number of words,
+        each is encoded alone."""
+        groups = [words[k:k + JOINED] for k in range(0, len(words), JOINED)]
+        made = self.bare.encode_batch_fast([MARK + MARK.join(g) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, made):
+            ids = encoding.ids
+            starts = np.flatnonzero(self.leads[ids]).tolist()
+            if len(starts) == len(group) and starts[0] == 0:
+                for a, b in zip(starts, [*starts[1:], len(ids)]):
+                    yield ids[a:b]
+            else:
+                alone = self.bare.encode_batch_fast([MARK + w for w in group], add_special_tokens=False)
+                yield from (e.ids for e in alone)
+
     def learn(self, cut: list[list[str]]) -> None:
         """Encodes and decodes the parts not met before, in multithreaded batches.
 
@@ -184,31 +211,48 @@ class Codec:
         """
         if len(self.ids) > CACHED_PARTS:
             self.ids, self.back = {}, {}
-        new = [p for p in {p for parts in cut for p in parts} if p not in self.ids]
-        normal = [p[1:] if p[0] == MARK else MARK + p for p in new]
-        made = [e.ids for e in self.bare.encode_batch_fast(normal, add_special_tokens=False)]
-        back = self.tokenizer.decode_batch(made, skip_special_tokens=False)
-        for part, text, ids, decoded in zip(new, normal, made, back):
+        new = set().union(*cut).difference(self.ids)
+        words = [p for p in new if p[0] != MARK]
+        others = [p for p in new if p[0] == MARK]
+        made = self.bare.encode_batch_fast([p[1:] for p in others], add_special_tokens=False)
+        plain = self.plain_text.__getitem__
+        hard: list[tuple[str, list[int]]] = [(p, e.ids) for p, e in zip(others, made)]
+        for part, ids in hard:
             self.ids[part] = array("I", ids).tobytes()
+        for word, ids in zip(words, self.joined_ids(words)):
+            self.ids[word] = array("I", ids).tobytes()
+            try:
+                if "".join(map(plain, ids)) != " " + word:
+                    hard.append((word, ids))
+            except TypeError:
+                hard.append((word, ids))
+        decoded = self.bare.decode_batch([ids for _, ids in hard], skip_special_tokens=False)
+        for (part, _), text in zip(hard, decoded):
             # The decoder takes one space off the front of a text; inside a text it stays.
-            self.back[part] = " " + decoded if text[0] == MARK and self.model.dummy_prefix else decoded
+            word = part[0] != MARK
+            back = " " + text if (word or part[1:2] == MARK) and self.model.dummy_prefix else text
+            if not word or back != " " + part:
+                self.back[part] = back
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.parts(t) for t in texts]
         self.learn(cut)
-        return [b"".join([self.ids[p] for p in parts]) for parts in cut]
+        return [b"".join(map(self.ids.__getitem__, parts)) for parts in cut]
 
     def there_and_back(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids of each text, and the text that they decode to."""
         cut = [self.parts(t) for t in texts]
         self.learn(cut)
         lead = 1 if self.model.dummy_prefix else 0
-        return [(b"".join([self.ids[p] for p in parts]), "".join([self.back[p] for p in parts])[lead:])
-                for parts in cut]
+        ids, back = self.ids.__getitem__, self.back
+        return [(b"".join(map(ids, parts)),
+                 text if parts and parts[0][0] != MARK and back.keys().isdisjoint(parts)
+                 else "".join([back[p] if p in back else " " + p for p in parts])[lead:])
+                for text, parts in zip(texts, cut)]
 
     def decode(self, ids: list[bytes]) -> list[str]:
-        return self.tokenizer.decode_batch([array("I", i).tolist() for i in ids], skip_special_tokens=False)
+        return self.bare.decode_batch([array("I", i).tolist() for i in ids], skip_special_tokens=False)
 
 
 OUT = "doc_id long, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean"
