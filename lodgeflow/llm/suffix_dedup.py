@@ -43,6 +43,10 @@ GRAM = 40
 HOT = 2000
 #: Bytes of different segments in one transform; a larger bucket is dealt to several.
 BLOCK = 1 << 20
+#: Bytes of small buckets that are transformed together, so that a worker holds the numbers of few.
+GATHERED = 1 << 18
+#: Bytes of rows that a worker has as Python objects, or gives back, at a time.
+HELD = 1 << 20
 #: Separates segments; no byte of UTF-8.
 END = 255
 
@@ -76,9 +80,11 @@ def marks(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     mark and goes on to the next level.
     """
     n = len(text)
+    # Numbers of 32 bits, where intervals times bytes fit them: a block has several of each byte.
+    small = np.int32 if n < 1 << 22 else np.int64
     last = text[order - 1]
-    steps = np.empty(n, np.int64)
-    steps[np.argsort(last, kind="stable")] = np.arange(n)
+    steps = np.empty(n, small)
+    steps[np.argsort(last, kind="stable")] = np.arange(n, dtype=small)
     marked = np.zeros(n + 1, bool)
     marked[[0, n]] = True
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
@@ -87,11 +93,12 @@ def marks(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
             break
         sizes = high - low
         begins = np.cumsum(sizes) - sizes
-        rows = np.arange(int(sizes.sum())) + np.repeat(low - begins, sizes)
+        rows = np.arange(int(sizes.sum()), dtype=small) + np.repeat((low - begins).astype(small), sizes)
         # Rows of one interval with one preceding byte move to adjacent rows, in order.
-        owner = np.repeat(np.arange(len(low)), sizes)
-        group = np.argsort(owner * 256 + last[rows], kind="stable")
-        to, key = steps[rows[group]], (owner * 256 + last[rows])[group]
+        key = np.repeat(np.arange(len(low), dtype=small) * small(256), sizes)
+        key += last[rows]
+        group = np.argsort(key, kind="stable")
+        to, key = steps[rows[group]], key[group]
         firsts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         low = to[firsts]
         high = to[np.append(firsts[1:], len(to)) - 1] + 1
@@ -234,11 +241,11 @@ def expand(length: int, block: int):
             singles.clear()
             size = 0
 
-        for batch in slices(batches):
+        for batch in slices(batches, HELD):
             for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if group and group[0][:2] != row[:2]:
                     close()
-                    if size >= block or len(singles) >= 50_000:
+                    if size >= min(block, GATHERED) or len(singles) >= 50_000:
                         yield from flush()
                 group.append(row)
         close()
@@ -339,7 +346,7 @@ def cut(length: int, with_bytes: bool):
         return (*made, kept) if with_bytes else made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, HELD):
             i, t, c, s = batch.columns
             rows = [row(*x) for x in zip(i.to_pylist(), t.cast(pa.large_binary()).to_pylist(),
                                          c.to_pylist(), s.to_pylist())]
@@ -380,7 +387,7 @@ def suffix_dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, h
 
 def trimmed(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, HELD):
             row, text, copy, spans = batch.columns
             kept = []
             for t, c, s in zip(text.cast(pa.large_binary()).to_pylist(), copy.to_pylist(), spans.to_pylist()):
