@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, slices, text_of, without, written
+from .common import arrow_schema, let_go, slices, text_of, without, written
 from .components import components
 from .hashing import Hasher, buffer_of, mix, word_hashes, word_places
 
@@ -328,7 +328,9 @@ def verified(docs: DataFrame, leads: DataFrame, pairs: DataFrame, words: int, pe
                    .mapInArrow(node_rows(words), NODE).dropDuplicates(["node"]), f"{name}-sets")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
-    return written(both.select("a", "b", "x", "y").mapInArrow(verify(percent), "a long, b long"), f"{name}-links")
+    links = written(both.select("a", "b", "x", "y").mapInArrow(verify(percent), "a long, b long"), f"{name}-links")
+    let_go(pairs, sets)
+    return links
 
 
 def first_round(posts: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -348,7 +350,10 @@ PAIRS = "a long, b long, like long"
 
 
 def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups that may link, from all tiles of all lists, and their likeness."""
+    """Pairs (a, b) of different groups that may link, from all tiles of all lists, and their likeness.
+
+    The rows of all tiles are written before they get their bitmaps, so that the shuffles which
+    deal lists and those which deal bitmaps do not lie on disk together."""
     own = posts.join(groups, "node", "left").select(
         "h", "node", "band", F.coalesce("group", "node").alias("group"))
     rows = own.withColumn("guest", F.lit(False)).unionByName(
@@ -368,11 +373,15 @@ def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent:
     homes = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rest") - 1))).withColumn("home", F.lit(True))
     others = (rows.where(F.col("group") != F.col("main"))
               .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.lit(False)))
-    both = (homes.unionByName(others).withColumn("minor", F.col("group") != F.col("main"))
-            .join(nodes, "node")
-            .select("h", "band", "i", "j", "node", "group", "n", "home", "guest", "minor", "bits", "least"))
-    return (both.repartition("h", "band", "i", "j").sortWithinPartitions("h", "band", "i", "j")
-            .mapInArrow(tiles(cross_tile(percent), 4, PAIRS), PAIRS))
+    met = written(homes.unionByName(others).select(
+        "h", "band", "i", "j", "node", "group", "home", "guest", (F.col("group") != F.col("main")).alias("minor")), "met")
+    both = met.join(nodes, "node").select(
+        "h", "band", "i", "j", "node", "group", "n", "home", "guest", "minor", "bits", "least")
+    pairs = (both.repartition("h", "band", "i", "j").sortWithinPartitions("h", "band", "i", "j")
+             .mapInArrow(tiles(cross_tile(percent), 4, PAIRS), PAIRS))
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("like").alias("like")), "far-pairs")
+    let_go(met)
+    return pairs
 
 
 def grouped(links: DataFrame) -> DataFrame:
@@ -390,20 +399,24 @@ def foreign(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def settled(docs: DataFrame, leads: DataFrame, near: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links that join the same sets as ``near`` and all links among ``pairs`` (a, b, like).
+    """Links that join the same sets as ``near`` and all links among ``pairs`` (a, b, like), a written table.
 
     Each pass takes the likest pairs of each set, ``PASS`` times as many as the one before;
     those of one group go, until no pair is left."""
     links, take = near, PASS
-    pairs = written(pairs.groupBy("a", "b").agg(F.max("like").alias("like")), "far-pairs")
     best = Window.partitionBy("a").orderBy(F.desc("like"), "b")
     while not pairs.isEmpty():
         ranked = written(pairs.withColumn("k", F.row_number().over(best)), "far-ranked")
+        let_go(pairs)
         links = links.unionByName(verified(docs, leads, ranked.where(F.col("k") <= take), words, percent, "far"))
         rest = ranked.where(F.col("k") > take).drop("k")
         if rest.isEmpty():
-            break
-        pairs, take = written(foreign(rest, grouped(links)), "far-left"), take * PASS
+            let_go(ranked)
+            return links
+        groups = grouped(links)
+        pairs, take = written(foreign(rest, groups), "far-left"), take * PASS
+        let_go(ranked, groups)
+    let_go(pairs)
     return links
 
 
@@ -433,10 +446,17 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     posts = written(posts, "posts")
     # At most as many shingles of a set come together here as it has posted.
     least = posts.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("h")), 1, FIRSTS).alias("least"))
-    nodes = written(leads.select("node", "n", "bits").dropDuplicates(["node"]).join(least, "node"), "nodes")
+    # Bitmaps are shuffled once: a set's own rows meet its number, equal rows of one text meet there too.
+    nodes = written(some.join(firsts.join(least, "node"), ["doc_id", "text_key", "s1", "s2"])
+                    .dropDuplicates(["doc_id", "text_key", "s1", "s2"]).select("node", "n", "bits", "least"), "nodes")
+    places = written(sets.select("doc_id", "text_key", "n", "s1", "s2"), "places")
+    let_go(sets)
     near = verified(docs, firsts, first_round(posts, nodes, percent), words, percent, "near")
-    links = settled(docs, firsts, near, second_round(posts, nodes, grouped(near), percent), words, percent)
-    rows = sets.join(firsts.select("s1", "s2", "node", F.col("doc_id").alias("first")), ["s1", "s2"], "left").select(
+    groups = grouped(near)
+    pairs = second_round(posts, nodes, groups, percent)
+    let_go(posts, nodes, groups)
+    links = settled(docs, firsts, near, pairs, words, percent)
+    rows = places.join(firsts.select("s1", "s2", "node", F.col("doc_id").alias("first")), ["s1", "s2"], "left").select(
         "doc_id", "text_key", "n", "node", "first")
     if not by_row:
         several = (rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("doc_id")
