@@ -3,7 +3,9 @@
 Equal shingle sets are merged first.  Of each set, its rarest shingles are posted: two sets
 at the threshold share one of them.  "Rare" is any order that all sets share; here the
 most frequent shingles of the corpus, a list of bounded length, come last, and so long lists
-of unrelated documents do not arise.  Only shingles posted by several sets are followed.
+of unrelated documents do not arise.  Only shingles posted by several sets are followed, and of
+their sets only those that may link with another one there: the place of the first shingle
+that two sets share bounds their overlap.
 
 A posting list is cut into tiles by size band, since sets at the threshold are of like size,
 and long lists further into blocks.  In a tile, bitmaps of hashed shingles are compared first:
@@ -46,8 +48,12 @@ FIRST_LISTS = 3
 FIRST_TILE = 256
 #: Sets in one block of a tile of the second round.
 BLOCK = 2048
-#: So many of a set's least shingles in lists say in which tile of the second round it meets another.
+#: So many of a set's first shingles in lists say in which tile of the second round it meets another.
 FIRSTS = 8
+#: In tiles of up to so many pairs each pair is looked at alone.
+FEW_PAIRS = 8
+#: Lists of up to so many sets are searched for the sets that may link there.
+SHORT_LIST = 64
 #: Pairs of each set that the first pass over the second round's pairs settles; each later pass
 #: takes so many times more, until none is left.
 PASS = 8
@@ -69,7 +75,9 @@ def shingles(hasher: Hasher, texts: pa.Array, words: int) -> tuple[np.ndarray, n
     few = np.flatnonzero((n > 0) & (n < words))
     h = np.concatenate([h, hasher.stretch(sums, first[:-1][few], first[1:][few])])
     doc = np.concatenate([doc, few])
-    order = np.lexsort((h, doc))
+    order = np.argsort(h)
+    # Short numbers are sorted in one pass.
+    order = order[np.argsort(doc[order].astype(np.uint16 if len(n) < 1 << 16 else np.int64), kind="stable")]
     h, doc = h[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
@@ -126,7 +134,7 @@ def set_rows(words: int, percent: int, frequent: np.ndarray):
             if len(known):
                 at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 rank = np.where(known[at] == h, order[at] + 1, 0)
-            by = np.lexsort((h, rank, doc))
+            by = np.argsort(doc * (len(known) + 1) + rank, kind="stable")
             place = np.arange(len(h)) - bounds[:-1][doc]
             keep = by[place < prefix_size(n, percent)[doc]]
             sizes = np.where(n > 0, prefix_size(n, percent), 0)
@@ -159,6 +167,79 @@ def band(n):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.25)) + 1e-9).cast("int")
 
 
+POSTS = "h long, node long, n long, place int"
+
+
+def most_size(n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """The largest set that a set of n shingles can link with, if the first shingle that both have stands at ``place``."""
+    return (100 + percent) * (n - place) // percent - n
+
+
+def may_link(h: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of lists, sorted by h, may link with another row of their list.  All rows of long lists may."""
+    most = most_size(n, place, percent)
+    fit = np.zeros(len(h), bool)
+    for far in range(1, min(SHORT_LIST, len(h))):
+        a = np.flatnonzero(h[far:] == h[:-far])
+        if not len(a):
+            return fit
+        b = a + far
+        good = ((n[b] <= most[a]) & (n[a] <= most[b])
+                & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])))
+        fit[a[good]] = fit[b[good]] = True
+    far = SHORT_LIST
+    if len(h) > far:
+        for a in np.unique(h[far:][h[far:] == h[:-far]]):
+            fit[np.searchsorted(h, a):np.searchsorted(h, a, "right")] = True
+    return fit
+
+
+def followed(percent: int):
+    """Rows (h, node, n, place) sorted by h and node -> those that may link in the list of h, each once.
+
+    The last list of a batch waits for the next one; a long list goes on as it comes."""
+    out = arrow_schema(POSTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, long, last = None, None, None
+
+        def kept(columns: list[np.ndarray], at: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c[at], t) for c, t in zip(columns, out.types)], schema=out)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy() for c in batch.columns]
+            h, node = columns[:2]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
+            new[0] = last != (h[0], node[0])
+            last = (h[-1], node[-1])
+            columns = [c[new] for c in columns]
+            if long is not None:
+                # The rest of a list that is known to be long.
+                end = np.searchsorted(columns[0], long, "right")
+                if end:
+                    yield kept(columns, np.arange(end))
+                columns = [c[end:] for c in columns]
+            if not len(columns[0]):
+                continue
+            long = None
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns)]
+            h = columns[0]
+            end = np.searchsorted(h, h[-1])
+            if len(h) - end > SHORT_LIST:
+                end, long, held = len(h), h[-1], None
+            else:
+                held = [c[end:] for c in columns]
+            yield kept(columns, np.flatnonzero(may_link(*(columns[k][:end] for k in (0, 2, 3)), percent)))
+        if held is not None:
+            yield kept(held, np.flatnonzero(may_link(held[0], held[2], held[3], percent)))
+
+    return run
+
+
 NODE = "node long, shingles binary"
 
 
@@ -267,29 +348,43 @@ def join_tile(percent: int):
 
 
 def first_common(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
-    """The smallest shingle that a row of ``theirs`` shares with ``mine``, else ``NO_SHINGLE``."""
-    shared = (theirs[:, :, None] == mine[None, None, :]).any(2) & (theirs != NO_SHINGLE)
-    return np.where(shared, theirs, NO_SHINGLE).min(1)
+    """The first shingle of ``mine`` that stands in a row of ``theirs``, else ``NO_SHINGLE``."""
+    shared = (theirs[:, :, None] == mine[None, None, :]).any(1)
+    return np.where(shared.any(1), mine[shared.argmax(1)], NO_SHINGLE)
 
 
 def cross_tile(percent: int):
-    """Rows (h, band, i, j, node, group, n, home, guest, minor, bits, least) of one tile ->
+    """Rows (h, band, i, j, node, group, n, home, guest, minor, bits, firsts) of one tile ->
     pairs of homes and others that may link, of different groups, with their likeness.
 
-    A pair stands in many lists.  Where the sets share one of the least shingles that they
-    have in lists, only the tile of the smallest such shingle gives the pair."""
+    A pair stands in many lists.  Where the sets share one of the first shingles that they
+    have in lists, only the tile of the first such shingle in the common order gives the pair:
+    the first one that the sets share at all, in whose list sets that link have stayed."""
+
+    def few(h: int, homes: list[tuple], others: list[tuple]) -> Iterator[tuple]:
+        for r in homes:
+            for o in others:
+                if o[5] == r[5] or (o[8] and r[8]) or (r[9] and o[4] <= r[4]):
+                    continue
+                if next((x for x in r[11] if x in o[11]), h) == h:
+                    bits = matrix([r[10], o[10]])
+                    like = likeness(bits[1:], np.array([o[6]]), bits[0], r[6], percent)[0]
+                    if like >= 0:
+                        yield min(r[4], o[4]), max(r[4], o[4]), int(like)
 
     def solve(rows: list[tuple]) -> list[tuple]:
         homes, others = [r for r in rows if r[7]], [r for r in rows if not r[7]]
         if not homes or not others:
             return []
         h = rows[0][0]
+        if len(homes) * len(others) <= FEW_PAIRS:
+            return list(set(few(h, homes, others)))
         bits = matrix([r[10] for r in homes + others])
         mine, theirs = bits[:len(homes)], bits[len(homes):]
         node, group, n, guest = (np.array([r[k] for r in others]) for k in (4, 5, 6, 8))
-        least = np.full((len(others), FIRSTS), NO_SHINGLE)
+        firsts = np.full((len(others), FIRSTS), NO_SHINGLE)
         for k, r in enumerate(others):
-            least[k, :len(r[11])] = r[11]
+            firsts[k, :len(r[11])] = r[11]
         pairs = []
         for k, r in enumerate(homes):
             # Two sets outside the main group meet twice, once as each one's home.
@@ -299,7 +394,7 @@ def cross_tile(percent: int):
                 like = likeness(theirs[at], n[at], mine[k], r[6], percent)
                 at, like = at[like >= 0], like[like >= 0]
             if len(at):
-                first = first_common(np.array(r[11]), least[at])
+                first = first_common(np.array(r[11]), firsts[at])
                 here = (first == h) | (first == NO_SHINGLE)
                 pairs += [(min(r[4], d), max(r[4], d), s) for d, s in zip(node[at[here]].tolist(), like[here].tolist())]
         return list(set(pairs))
@@ -376,7 +471,7 @@ def second_round(posts: DataFrame, nodes: DataFrame, groups: DataFrame, percent:
     met = written(homes.unionByName(others).select(
         "h", "band", "i", "j", "node", "group", "home", "guest", (F.col("group") != F.col("main")).alias("minor")), "met")
     both = met.join(nodes, "node").select(
-        "h", "band", "i", "j", "node", "group", "n", "home", "guest", "minor", "bits", "least")
+        "h", "band", "i", "j", "node", "group", "n", "home", "guest", "minor", "bits", "firsts")
     pairs = (both.repartition("h", "band", "i", "j").sortWithinPartitions("h", "band", "i", "j")
              .mapInArrow(tiles(cross_tile(percent), 4, PAIRS), PAIRS))
     pairs = written(pairs.groupBy("a", "b").agg(F.max("like").alias("like")), "far-pairs")
@@ -437,18 +532,16 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     alone = firsts.groupBy("doc_id").agg((F.count(F.lit(1)) == 1).alias("alone"))
     firsts = written(firsts.join(alone, "doc_id").withColumn("node", F.when(
         F.col("alone"), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "s1", "s2"))).drop("alone"), "firsts")
-    # Copies post the same shingles under the same set hash, so they do not make a list.
-    lists = (some.select("s1", F.explode("posted").alias("h")).groupBy("h")
-             .agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where(F.col("low") != F.col("high")).select("h"))
     leads = some.join(firsts, ["doc_id", "text_key", "s1", "s2"])
-    posts = (leads.select("node", "n", F.posexplode("posted").alias("place", "h"))
-             .join(lists, "h").select("h", "node", band(F.col("n")).alias("band"), "place").distinct())
-    posts = written(posts, "posts")
+    posts = (leads.select("node", "n", F.posexplode("posted").alias("place", "h")).select("h", "node", "n", "place")
+             .repartition("h").sortWithinPartitions("h", "node").mapInArrow(followed(percent), POSTS))
+    posts = written(posts.withColumn("band", band(F.col("n"))), "posts")
     # At most as many shingles of a set come together here as it has posted.
-    least = posts.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("h")), 1, FIRSTS).alias("least"))
+    least = posts.groupBy("node").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("place", "h"))), 1, FIRSTS),
+                                                  lambda x: x["h"]).alias("firsts"))
     # Bitmaps are shuffled once: a set's own rows meet its number, equal rows of one text meet there too.
     nodes = written(some.join(firsts.join(least, "node"), ["doc_id", "text_key", "s1", "s2"])
-                    .dropDuplicates(["doc_id", "text_key", "s1", "s2"]).select("node", "n", "bits", "least"), "nodes")
+                    .dropDuplicates(["doc_id", "text_key", "s1", "s2"]).select("node", "n", "bits", "firsts"), "nodes")
     places = written(sets.select("doc_id", "text_key", "n", "s1", "s2"), "places")
     let_go(sets)
     near = verified(docs, firsts, first_round(posts, nodes, percent), words, percent, "near")
