@@ -75,10 +75,13 @@ def raw_folder(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toUri().getRawPath().rstrip("/")
 
 
-def in_dataset(spark: SparkSession, path: str, pattern: str, file_path: str = "_metadata.file_path") -> Column:
-    """S-04..S-08: files whose path below ``path`` matches ``pattern`` whole.  All raw datasets share
-    one folder tree; a batch scan tests the path when it lists files and opens no other."""
-    return F.col(file_path).rlike(f"^[^:/]+:(//[^/]*)?\\Q{raw_folder(spark, path)}\\E/(?:{pattern})$")
+def in_dataset(spark: SparkSession, path: str, pattern: str, file_path: str = "_metadata.file_path",
+               gzipped: bool = False) -> Column:
+    """S-04..S-08: files whose path below ``path`` matches ``pattern`` whole; if ``gzipped``, followed
+    by ``.gz``.  All raw datasets share one folder tree; a batch scan tests the path when it lists
+    files and opens no other."""
+    end = "[.]gz" if gzipped else ""
+    return F.col(file_path).rlike(f"^[^:/]+:(//[^/]*)?\\Q{raw_folder(spark, path)}\\E/(?:{pattern}){end}$")
 
 
 def clean_tokens(df: DataFrame, names: list[str]) -> DataFrame:
@@ -88,15 +91,15 @@ def clean_tokens(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, names: list[str], pattern: str,
-             multiline: bool = True) -> DataFrame:
+             multiline: bool = True, gzipped: bool = False) -> DataFrame:
     """S-01/S-09/S-10: batch scan; listing the folder again on every call is
-    the refresh of S-11."""
+    the refresh of S-11.  ``gzipped`` reads the dataset's compressed files, and no others."""
     df = csv_reader(spark, names, multiline).load(path, format="csv")
-    return clean_tokens(df.where(in_dataset(spark, path, pattern)), names)
+    return clean_tokens(df.where(in_dataset(spark, path, pattern, gzipped=gzipped)), names)
 
 
-def raw_listing(spark, path, multiline=True):
-    return read_raw(spark, path, LISTING_COLUMNS, LISTING_PATTERN, multiline)
+def raw_listing(spark, path, multiline=True, gzipped=False):
+    return read_raw(spark, path, LISTING_COLUMNS, LISTING_PATTERN, multiline, gzipped)
 
 
 def raw_census_g01(spark, path, multiline=True):

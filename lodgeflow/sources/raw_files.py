@@ -31,9 +31,12 @@ def token(pick: Column) -> Column:
 
 def listing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listing rows, all text, and the name (``file``) under which each is filed.  They come dealt by
-    month, which is one file name: rows are shuffled before they get their text, not after."""
-    rows = analogue.listings_by_month(spark, sf_dir)
+    month, which is one file name, and sorted by it, as the writer needs them: rows are shuffled and
+    sorted before they get their text, not after."""
     later = F.add_months("scraped_date", 12 * YEARS_LATER)
+    rows = (analogue.listings_by_month(spark, sf_dir)
+            .withColumn("file", F.coalesce(F.date_format(later, "MM_yyyy"), F.lit("")))   # no NULL: the writer knows the order
+            .sortWithinPartitions("file"))
     nothing = token(F.col("number_of_reviews"))
     flag = lambda c: F.when(F.col(c), F.lit("t")).otherwise(F.lit("f"))
     made = {
@@ -48,7 +51,7 @@ def listing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "review_scores_rating": F.when(F.col("number_of_reviews") > 3, F.col("review_scores_rating").cast("string")).otherwise(nothing),
     }
     cols = [made.get(c, F.col(c).cast("string") if c in rows.columns else nothing).alias(c) for c in C.LISTING_COLUMNS]
-    return rows.select(*cols, F.date_format(later, "MM_yyyy").alias("file"))
+    return rows.select(*cols, "file")
 
 
 def _census(spark: SparkSession, sf_dir: str, columns: list[str], fraction: str, every: int) -> DataFrame:
@@ -89,11 +92,13 @@ def landing_folder(spark: SparkSession) -> str:
 
 def land(rows: DataFrame, folder: str, name: str, dealt: bool = False) -> None:
     """Writes ``rows`` as CSV files below ``folder``: ``name`` is a template of the row's ``file`` and a
-    number.  A file value with many rows is dealt to several files; ``dealt`` rows are so already."""
+    number, and files whose names end in ``.gz`` are compressed.  A file value with many rows is dealt
+    to several files; ``dealt`` rows are so already."""
     spark = rows.sparkSession
     work = f"{folder}/_work-{uuid.uuid4().hex}"
+    packed = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"} if name.endswith(".gz") else {}
     ((rows if dealt else rows.hint("rebalance", "file")).write.partitionBy("file")
-     .options(header=True, quote='"', escape='"').csv(work))
+     .options(header=True, quote='"', escape='"', **packed).csv(work))
     fs, p = hadoop(spark, work)
     for value in [s.getPath() for s in fs.listStatus(p) if s.isDirectory()]:
         label = value.getName().split("=", 1)[1]
@@ -116,7 +121,7 @@ def land_all(spark: SparkSession, sf_dir: str, *datasets: str) -> str:
 
 
 DATASETS = {
-    "listing": (listing_text, "listings/{file}_{number}.csv"),
+    "listing": (listing_text, "listings/{file}_{number}.csv.gz"),
     "g01": (census_g01_text, "census/{file}_{number}.csv"),
     "g02": (census_g02_text, "census/{file}_{number}.csv"),
     "code": (lga_code_text, "areas/{number}_{file}.csv"),
